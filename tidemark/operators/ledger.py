@@ -100,23 +100,29 @@ def latest_quality(quality: DataFrame, run_id: str | None = None) -> DataFrame:
 
 
 def failed_stage(
-    completed: DataFrame, stages: Sequence[str] = tuple(schemas.STAGES)
+    stage_rows: DataFrame,
+    stages: Sequence[str] = tuple(schemas.STAGES),
+    completed: Column | None = None,
+    **also: Column,
 ) -> DataFrame:
     """Per run, the first stage in order that did not complete; null if all did.
 
-    ``completed`` holds one or more rows per completed (run, stage).  Each run is
-    folded into a bit per stage: one aggregation over a fixed-width buffer, with
-    no run-by-stage product.  Runs without any row are the caller's to add.
+    ``completed`` tells which rows count as completions (all by default), and
+    ``also`` adds run-level aggregates to the same pass.  Each run is folded into a
+    bit per stage: a fixed-width buffer, and no run-by-stage product.
     """
     table = dimension(
-        completed.sparkSession,
+        stage_rows.sparkSession,
         {"stage_name": list(stages), "bit": [1 << i for i in range(len(stages))]},
     )
+    bit = F.col("bit") if completed is None else F.when(completed, F.col("bit"))
     done = (
-        completed.select("run_id", "stage_name")
-        .join(table, "stage_name", "left")
+        stage_rows.join(table, "stage_name", "left")
         .groupBy("run_id")
-        .agg(F.coalesce(F.bit_or("bit"), F.lit(0)).alias("done"))
+        .agg(
+            F.coalesce(F.bit_or(bit), F.lit(0)).alias("done"),
+            *[value.alias(name) for name, value in also.items()],
+        )
     )
     first_open = F.coalesce(
         *[
@@ -128,4 +134,5 @@ def failed_stage(
         "run_id",
         F.bit_count("done").cast("long").alias("successful_stages"),
         first_open.alias("failed_stage"),
+        *also,
     )

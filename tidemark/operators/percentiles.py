@@ -2,8 +2,9 @@
 
 Spark's ``percentile`` keeps every distinct value of a group in one task.  That
 is right for small inputs; beyond them :func:`selected_percentiles` finds the
-wanted order statistics by repeatedly narrowing an interval of values: each
-round is a histogram of at most ``buckets`` counts per open interval.
+wanted order statistics by narrowing intervals of values.  Each round is one
+scan with a map-side lookup and at most ``buckets`` partial counts per interval
+and task, so the rows themselves are never shuffled, whichever group they are in.
 """
 
 from __future__ import annotations
@@ -13,100 +14,116 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.plans.scratch import materialized
+from tidemark.plans.sizing import MAX_DIMENSION_ROWS
+
+_INTERVAL = ["g", "low", "high", "below", "targets"]
+
+
+def _magnitude(value: Column) -> Column:
+    """Signed logarithmic scale: spreads a body of values apart from far outliers."""
+    return F.signum(value) * F.log1p(F.abs(value) * F.lit(1e6))
+
 
 def _bucket(value: Column, low: Column, high: Column, buckets: int) -> Column:
     """Bucket of ``value`` within [low, high]; never decreases as the value grows."""
-    width = high - low
-    place = F.floor(F.try_divide(value - low, width) * F.lit(float(buckets)))
+    place = F.floor(F.try_divide(value - low, high - low) * F.lit(float(buckets)))
     return F.coalesce(F.least(place, F.lit(buckets - 1)), F.lit(0)).cast("int")
 
 
+def _narrowed(histogram: DataFrame, by: str) -> DataFrame:
+    """Keep the steps of each interval that hold a target rank, with those targets."""
+    window = (
+        Window.partitionBy("g", "low", "high")
+        .orderBy(by)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    upto = F.col("below") + F.sum("c").over(window)
+    stepped = histogram.withColumn("upto", upto).withColumn("start", F.col("upto") - F.col("c"))
+    held = F.filter(
+        "targets", lambda t: (t["rank"] >= F.col("start")) & (t["rank"] < F.col("upto"))
+    )
+    return stepped.withColumn("targets", held).filter(F.size("targets") > 0)
+
+
 def selected_percentiles(
     df: DataFrame,
     group: str,
     value: str,
     probabilities: Sequence[float],
-    rounds: int = 3,
-    buckets: int = 1024,
+    rounds: int = 2,
+    buckets: int = 4096,
 ) -> DataFrame:
     """``(group, percentiles)`` by linear interpolation, null groups and values left out.
 
-    Equal values are counted together in the first shuffle, which hashes on
-    (group, value): a group with most of the rows spreads over all tasks.  Every
-    round reads that one shuffle again.  After ``rounds`` rounds an open interval
-    spans ``buckets ** -rounds`` of its group's range, and its few distinct values
-    are ranked directly, so the result is exact for any distribution.
+    The first round buckets on a logarithmic scale, later ones linearly.  The few
+    distinct values left in an interval are then counted and ranked one by one,
+    so the result is exact for any distribution.  Group spans are written to the
+    scratch folder first: their number decides whether they may be broadcast.
     """
-    counted = (
-        df.select(F.col(group).alias("g"), F.col(value).alias("v"))
-        .filter(F.col("g").isNotNull() & F.col("v").isNotNull())
-        .groupBy("g", "v")
-        .agg(F.count("*").alias("c"))
+    rows = df.select(F.col(group).alias("g"), F.col(value).alias("v")).filter(
+        F.col("g").isNotNull() & F.col("v").isNotNull()
     )
-    spans = counted.groupBy("g").agg(
-        F.sum("c").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
-    )
-    position = F.element_at(
-        F.array(*[F.lit(float(p)) for p in probabilities]), F.col("i") + 1
-    ) * (F.col("n") - 1)
-    targets = (
-        spans.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(len(probabilities) - 1))))
-        .withColumn("position", position)
-        .withColumn(
-            "rank",
-            F.explode(F.array_distinct(F.array(F.floor("position"), F.ceil("position")))),
-        )
-        .select("g", "i", "position", "rank", "low", "high", F.lit(0).cast("long").alias("below"))
+    spans = materialized(
+        rows.groupBy("g").agg(
+            F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
+        ),
+        "spans",
     )
-    interval = ["g", "low", "high"]
-    ordered = Window.partitionBy(*interval)
+    bounded = spans.count() <= MAX_DIMENSION_ROWS
 
-    def inside(open_targets: DataFrame) -> DataFrame:
-        wanted = open_targets.select(*interval).distinct()
-        return counted.join(wanted, "g").filter(F.col("v").between(F.col("low"), F.col("high")))
-
-    def narrowed(open_targets: DataFrame, histogram: DataFrame) -> DataFrame:
-        picked = open_targets.join(histogram, interval).withColumn(
-            "start", F.col("below") + F.col("before")
-        )
-        return picked.filter(
-            (F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("c"))
+    def target(i: int, p: float, side) -> Column:
+        position = F.lit(float(p)) * (F.col("n") - 1)
+        return F.struct(
+            F.lit(i).alias("i"),
+            (position - F.floor(position)).alias("part"),
+            side(position).cast("long").alias("rank"),
         )
 
-    def running(histogram: DataFrame, by: str) -> DataFrame:
-        upto = F.sum("c").over(
-            ordered.orderBy(by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        return histogram.withColumn("before", upto - F.col("c"))
+    wanted = [
+        target(i, p, side) for i, p in enumerate(probabilities) for side in (F.floor, F.ceil)
+    ]
+    intervals = spans.select(
+        "g", "low", "high", F.lit(0).cast("long").alias("below"), F.array(*wanted).alias("targets")
+    )
+
+    def inside(intervals: DataFrame) -> DataFrame:
+        # At most two intervals per percentile and group.
+        lookup = F.broadcast(intervals) if bounded else intervals
+        return rows.join(lookup, "g").filter(F.col("v").between(F.col("low"), F.col("high")))
 
-    for _ in range(rounds):
+    for turn in range(rounds):
+        scale = _magnitude if turn == 0 else (lambda c: c)
+        edges = [scale(F.col(c)) for c in ("v", "low", "high")]
         histogram = (
-            inside(targets)
-            .withColumn("b", _bucket(F.col("v"), F.col("low"), F.col("high"), buckets))
-            .groupBy(*interval, "b")
-            .agg(F.sum("c").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+            inside(intervals)
+            .groupBy(*_INTERVAL, _bucket(*edges, buckets).alias("b"))
+            .agg(F.count("*").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi"))
         )
-        targets = narrowed(targets, running(histogram, "b")).select(
+        intervals = _narrowed(histogram, "b").select(
             "g",
-            "i",
-            "position",
-            "rank",
             F.col("lo").alias("low"),
             F.col("hi").alias("high"),
             F.col("start").alias("below"),
+            "targets",
         )
-    ranked = narrowed(targets, running(inside(targets), "v"))
-    # One or two order statistics per percentile: the ranks either side of its position.
-    pairs = ranked.groupBy("g", "i").agg(
-        F.min("v").alias("lower"), F.max("v").alias("upper"), F.max("position").alias("position")
+    counted = inside(intervals).groupBy(*_INTERVAL, "v").agg(F.count("*").alias("c"))
+    ranked = _narrowed(counted, "v").select("g", "v", F.explode("targets").alias("t"))
+    # The values at the ranks either side of each percentile's position.
+    of = [F.col("t.i") == i for i in range(len(probabilities))]
+    per_group = ranked.groupBy("g").agg(
+        *[F.min(F.when(at, F.col("v"))).alias(f"lower{i}") for i, at in enumerate(of)],
+        *[F.max(F.when(at, F.col("v"))).alias(f"upper{i}") for i, at in enumerate(of)],
+        *[F.max(F.when(at, F.col("t.part"))).alias(f"part{i}") for i, at in enumerate(of)],
     )
-    part = F.col("position") - F.floor("position")
-    point = F.when(F.col("upper") == F.col("lower"), F.col("lower")).otherwise(
-        F.col("lower") + (F.col("upper") - F.col("lower")) * part
-    )
-    per_group = pairs.withColumn("p", point).groupBy("g")
-    return per_group.agg(
-        F.array(
-            *[F.max(F.when(F.col("i") == i, F.col("p"))) for i in range(len(probabilities))]
-        ).alias("percentiles")
-    ).withColumnRenamed("g", group)
+
+    def interpolated(i: int) -> Column:
+        # The same form as Spark's own percentile, so both agree to the last bit.
+        part = F.col(f"part{i}")
+        lower, upper = F.col(f"lower{i}"), F.col(f"upper{i}")
+        return F.when(lower == upper, lower).otherwise(
+            (F.lit(1.0) - part) * lower + part * upper
+        )
+
+    points = [interpolated(i) for i in range(len(probabilities))]
+    return per_group.select(F.col("g").alias(group), F.array(*points).alias("percentiles"))

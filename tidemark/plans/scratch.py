@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
@@ -31,3 +31,10 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unused folder name below the scratch root."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def materialized(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to a scratch folder and read it back: a short, durable lineage."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

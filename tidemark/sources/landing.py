@@ -77,7 +77,11 @@ def read_all_fields(
 def landing_sanity(
     spark: SparkSession, path: str, schema: StructType, layout: str = "lines"
 ) -> DataFrame:
-    """Check rows for a snapshot: parsable, an array where one is due, not empty."""
+    """Check rows for a snapshot: parsable, an array where one is due, not empty.
+
+    A record is parsable if it fits the schema and has at least one of its fields;
+    all fields are looked at, since the parser skips what is not asked for.
+    """
     wide = StructType(schema.fields + [StructField(CORRUPT, StringType(), True)])
     parsed = (
         _reader(spark, layout)
@@ -85,8 +89,10 @@ def landing_sanity(
         .schema(wide)
         .json(path)
     )
+    blank = F.coalesce(*[F.col(name).cast("string") for name in schema.names]).isNull()
     totals = parsed.agg(
-        F.count("*").alias("records"), F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt")
+        F.count("*").alias("records"),
+        F.count_if(F.col(CORRUPT).isNotNull() | blank).alias("corrupt"),
     )
     checks = [
         (0, "parsable", F.col("corrupt"), "unparsable records"),
