@@ -181,7 +181,7 @@ BASELINE_ROWS = [
 ]
 
 
-@pytest.mark.parametrize("method", ["auto", "percentile", "selection"])
+@pytest.mark.parametrize("method", ["percentile", "selection"])
 def test_baseline(spark, method):
     df = spark.createDataFrame(BASELINE_ROWS, STAGE_ROWS)
     found = {r["stage_name"]: tuple(r)[1:] for r in
@@ -190,14 +190,20 @@ def test_baseline(spark, method):
         "POST INGESTION": (3, 2.0, 1.0, 3.0, 2.0, 2.9, 2.98),
         "USER INGESTION": (3, 1.0, 0.5, 1.5, 1.0, 1.45, 1.49),
     }
-    table = baseline.stage_baseline(df, method)
+    assert tuple(baseline.baseline_summary(df, method).first()) == (
+        6, 2, "POST INGESTION", "USER INGESTION", "POST INGESTION")
+
+
+def test_baseline_extremes(spark):
+    df = spark.createDataFrame(BASELINE_ROWS, STAGE_ROWS)
+    table = baseline.stage_baseline(df, "percentile")
     assert baseline.slowest_average_stage(table).first()[0] == "POST INGESTION"
     assert baseline.fastest_average_stage(table).first()[0] == "USER INGESTION"
     assert baseline.highest_p95_stage(table).first()[0] == "POST INGESTION"
-    assert baseline.stage_baseline_for(df, "NONE", method).count() == 0
-    assert baseline.stage_baseline_for(df, "USER INGESTION", method).first()[1] == 3
-    assert tuple(baseline.baseline_summary(df, method).first()) == (
-        6, 2, "POST INGESTION", "USER INGESTION", "POST INGESTION")
+    assert baseline.stage_baseline_for(df, "NONE", "percentile").count() == 0
+    assert baseline.stage_baseline_for(df, "USER INGESTION", "percentile").first()[1] == 3
+    with pytest.raises(ValueError):
+        baseline.stage_baseline(df, "guess")
 
 
 @pytest.mark.parametrize("method", ["percentile", "selection"])

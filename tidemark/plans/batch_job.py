@@ -9,7 +9,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -138,6 +138,7 @@ def run_batch(
     landing zone is filled by someone else.  ``now`` (UTC) names the run and its
     snapshots and is the processing time of its rows.
     """
+    now = now.replace(tzinfo=UTC) if now.tzinfo is None else now.astimezone(UTC)
     result = BatchResult(run_id=f"{now:%Y%m%d_%H%M%S_%f}")
     raw = layout.raw
 
