@@ -17,7 +17,7 @@ from tidemark.bindings.registry import query
 from tidemark.bindings.tables import STAGE_RUNS, stage_runs, table
 from tidemark.operators import merge
 from tidemark.operators.enrich import backfill_lineage
-from tidemark.plans.scratch import scratch_dir
+from tidemark.plans.scratch import materialized, scratch_dir
 from tidemark.sources import tables
 
 
@@ -35,9 +35,9 @@ def _recomputed(spark, sf_dir):
         table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").alias("post_id"))
         .agg(
-            F.when(F.min("l_linestatus") == F.max("l_linestatus"), F.min("l_linestatus")).alias(
-                "title"
-            ),
+            F.when(F.every(F.col("l_linestatus") == "O"), "O")
+            .when(F.every(F.col("l_linestatus") == "F"), "F")
+            .alias("title"),
             F.sum(F.col("l_extendedprice").cast("decimal(18,2)"))
             .cast("decimal(18,2)")
             .alias("total"),
@@ -72,7 +72,8 @@ def _shown(merged):
 
 @query("f2_upsert", f"WITH {PAIR} {_merge_sql('o', 'r', ALL_SAME)}")
 def _(spark, sf_dir):
-    return _shown(merge.upsert(_orders(spark, sf_dir), _recomputed(spark, sf_dir), "post_id"))
+    batch = materialized(_recomputed(spark, sf_dir), "f2")
+    return _shown(merge.upsert(_orders(spark, sf_dir), batch, "post_id"))
 
 
 @query("f2_upsert_full_outer", f"WITH {PAIR} {_merge_sql('o', 'r', TITLE_SAME)}")
@@ -231,7 +232,8 @@ def _(spark, sf_dir):
     """The table is merged, published, and read again from its newest version."""
     root = scratch_dir(spark, "f6")
     tables.publish_version(_orders(spark, sf_dir), root)
-    merged = merge.upsert(tables.read_current(spark, root), _recomputed(spark, sf_dir), "post_id")
+    batch = materialized(_recomputed(spark, sf_dir), "f6")
+    merged = merge.upsert(tables.read_current(spark, root), batch, "post_id")
     tables.publish_version(merge.sorted_by_key(merged.drop("change"), "post_id"), root)
     return _shown(tables.read_current(spark, root))
 

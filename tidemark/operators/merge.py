@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.enrich import backfill_lineage
-from tidemark.plans.sizing import estimated_bytes
+from tidemark.plans.sizing import is_small
 
-LOOKUP_BYTES = 64 * 1024 * 1024
+LOOKUP_BYTES = 32 * 1024 * 1024
 CHANGE = "change"
 
 
@@ -31,9 +31,16 @@ def keep_first(df: DataFrame, key: str, order_by: Sequence[Column | str]) -> Dat
 def new_rows(
     existing: DataFrame, incoming: DataFrame, key: str, order_by: Sequence[Column | str]
 ) -> DataFrame:
-    """Incoming rows whose key is not in ``existing``, the first of each key."""
+    """Incoming rows whose key is not in ``existing``, the first of each key.
+
+    Next to a small batch the existing keys are looked up where they are, and only
+    those the batch has are moved.
+    """
     first = keep_first(incoming, key, order_by)
-    return first.join(existing.select(key), key, "left_anti").select(*incoming.columns)
+    known = existing.select(key)
+    if is_small(incoming, LOOKUP_BYTES):
+        known = known.join(F.broadcast(first.select(key)), key, "left_semi")
+    return first.join(known, key, "left_anti").select(*incoming.columns)
 
 
 def insert_only(
@@ -133,8 +140,11 @@ def _pair_full_outer(existing: DataFrame, incoming: DataFrame, key: str) -> Data
 
 def _pair_lookup(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """The same pairs without moving the existing rows when incoming is small."""
-    matched = _wrapped(existing, key, "_e").join(_wrapped(incoming, key, "_i"), key, "left")
-    known = existing.select(key).join(incoming.select(key), key, "left_semi")
+    hinted = F.broadcast if is_small(incoming, LOOKUP_BYTES) else (lambda df: df)
+    matched = _wrapped(existing, key, "_e").join(
+        hinted(_wrapped(incoming, key, "_i")), key, "left"
+    )
+    known = existing.select(key).join(hinted(incoming.select(key)), key, "left_semi")
     unseen = _wrapped(incoming, key, "_i").join(known, key, "left_anti")
     absent = F.lit(None).cast(matched.schema["_e"].dataType)
     return matched.unionByName(unseen.withColumn("_e", absent))
@@ -162,8 +172,7 @@ def upsert(
     if validate:
         assert_mergeable(existing, incoming, key)
     if strategy == "auto":
-        size = estimated_bytes(incoming)
-        strategy = "lookup" if size is not None and size <= LOOKUP_BYTES else "full_outer"
+        strategy = "lookup" if is_small(incoming, LOOKUP_BYTES) else "full_outer"
     pair = _pair_lookup if strategy == "lookup" else _pair_full_outer
     merged = pair(existing, incoming, key).select(
         *_merged_columns(existing, incoming, key),

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from tidemark.functions.numeric import exact_avg, measure, percentage
 from tidemark.schemas import MAX_RETRIES, RETRYABLE_STAGES, SLOW_RUN_SECONDS
@@ -102,7 +103,9 @@ def monitoring_report(
     row = F.struct("run_id", "status", "started_at", "total_duration")
     # Smallest distance from a fixed instant back to the start: latest start first,
     # and the smallest order value on a tie.
-    age = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") - F.col("started_at")
+    zoned = isinstance(runs.schema["started_at"].dataType, TimestampType)
+    fixed = "TIMESTAMP'1970-01-01 00:00:00Z'" if zoned else "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+    age = F.expr(fixed) - F.col("started_at")
     rank = F.when(F.col("started_at").isNotNull(), F.struct(age, F.col(order_by)))
     return runs.agg(
         F.count("*").alias("total_runs"),

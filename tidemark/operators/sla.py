@@ -117,7 +117,9 @@ def stage_report(
     stage_runs: DataFrame, thresholds: Mapping[str, float] = STAGE_SLA
 ) -> DataFrame:
     """SLA performance of every configured stage, in the order of ``thresholds``."""
-    return _ordered_report(stage_runs, thresholds).orderBy("ord").select(*_REPORT)
+    report = _ordered_report(stage_runs, thresholds)
+    # One row per threshold, so one task may sort them; no range sampling for a few rows.
+    return report.coalesce(1).sortWithinPartitions("ord").select(*_REPORT)
 
 
 def worst_stage(stage_runs: DataFrame, thresholds: Mapping[str, float] = STAGE_SLA) -> DataFrame:

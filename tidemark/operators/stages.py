@@ -120,18 +120,15 @@ def run_stage_metrics(
 
     Executions are first reduced to one row per (run, stage), with fixed-width
     partial aggregates, so no run is gathered row by row.  Ties go to the stage
-    with the smallest ``order`` value.  With ``runs``, runs without any stage
+    with the smallest ``order`` value, a number or the stage name.  With ``runs``, runs without any stage
     appear with 0 stages and 0.0 durations.
     """
-    per_stage = (
-        cleaned(stage_runs)
-        .groupBy("run_id", "stage_name")
-        .agg(
-            F.min("duration").alias("low"),
-            F.max("duration").alias("high"),
-            F.min(order).alias("place"),
-        )
-    )
+    aggregates = [F.min("duration").alias("low"), F.max("duration").alias("high")]
+    if order != "stage_name":
+        aggregates.append(F.min(order).alias("place"))
+    per_stage = cleaned(stage_runs).groupBy("run_id", "stage_name").agg(*aggregates)
+    if order == "stage_name":
+        per_stage = per_stage.withColumn("place", F.col("stage_name"))
 
     def stage_at(measured: str, sign: int):
         rank = F.when(

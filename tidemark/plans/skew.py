@@ -42,7 +42,8 @@ def salted_join(
     task salts its rows the same way; name a unique column when rows are wide.
 
     Parents of hot keys are repeated once per salt (at most ``salts / share``
-    extra rows); every other row keeps salt 0 and moves exactly once.
+    extra rows); rows with a null key match nothing and are spread as well; every
+    other row keeps salt 0.
     ``how`` may be ``inner``, ``left``, ``left_semi`` or ``left_anti``.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
@@ -50,7 +51,7 @@ def salted_join(
     hot = hot_keys(facts, key, share).withColumn("_hot", F.lit(True))
     spread = F.pmod(F.xxhash64(*(spread_by or facts.columns)), F.lit(salts)).cast("int")
     left = facts.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0))
+        "_salt", F.when(F.col("_hot") | F.col(key).isNull(), spread).otherwise(F.lit(0))
     )
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
         F.array(F.lit(0))

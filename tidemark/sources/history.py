@@ -11,12 +11,16 @@ from pyspark.sql.types import StructType
 from tidemark import schemas
 from tidemark.operators.enrich import conform
 from tidemark.operators.ledger import normalized_runs
+from tidemark.plans.scratch import materialized
 from tidemark.sources.paths import exists
 
 
 def append(df: DataFrame, path: str, schema: StructType) -> bool:
-    """Append rows in the history's own layout; nothing is written for no rows."""
-    rows = conform(df, schema)
+    """Append rows in the history's own layout; nothing is written for no rows.
+
+    The rows are computed once, into the scratch folder, and looked at there.
+    """
+    rows = materialized(conform(df, schema), "append")
     if rows.isEmpty():
         return False
     rows.write.mode("append").parquet(path)
@@ -33,7 +37,7 @@ def load(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 def append_runs(runs: DataFrame, path: str) -> bool:
     """Append run records; a run that is in the ledger already is refused."""
     spark = runs.sparkSession
-    rows = normalized_runs(runs)
+    rows = materialized(normalized_runs(runs), "runs")
     ids = rows.select("run_id")
     repeated = ids.groupBy("run_id").count().filter("count > 1").select("run_id")
     if exists(spark, path):
@@ -41,7 +45,10 @@ def append_runs(runs: DataFrame, path: str) -> bool:
         repeated = repeated.unionByName(known.join(ids, "run_id", "left_semi"))
     for row in repeated.limit(1).collect():
         raise ValueError(f"run {row['run_id']} is already recorded")
-    return append(rows, path, schemas.RUNS)
+    if rows.isEmpty():
+        return False
+    rows.write.mode("append").parquet(path)
+    return True
 
 
 def append_stage_runs(stage_runs: DataFrame, path: str) -> bool:
@@ -61,7 +68,7 @@ def load_quality(spark: SparkSession, path: str) -> DataFrame:
 
 def append_alerts(alerts: DataFrame, path: str) -> bool:
     """Append alerts as JSON lines; nothing is written for no rows."""
-    rows = alerts.select(*schemas.ALERTS.names)
+    rows = materialized(alerts.select(*schemas.ALERTS.names), "alerts")
     if rows.isEmpty():
         return False
     rows.write.mode("append").json(path)
