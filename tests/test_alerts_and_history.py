@@ -1,6 +1,6 @@
 """Alerts, histories and ledger appends."""
 
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -108,6 +108,10 @@ def test_run_ledger(spark, tmp_path):
     assert [r["run_id"] for r in stored] == ["r0", "r1"]
     assert stored[0]["started_at"] == datetime(2026, 8, 11, 9)
     assert stored[0]["quality_status"] is None
+    recent = history.load_runs(spark, path, since=date(2026, 8, 12))
+    assert [r["run_id"] for r in recent.collect()] == ["r1"]
+    assert recent.columns == schemas.RUNS.names
+    assert history.load_runs(spark, path).count() == 2
 
 
 def test_other_histories(spark, tmp_path):

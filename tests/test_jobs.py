@@ -78,6 +78,8 @@ def test_batch_twice(spark, rows, tmp_path):
     assert [r["status"] for r in ledger_rows] == ["SUCCESS", "SUCCESS"]
     assert [r["records_checked"] for r in ledger_rows] == [2, 2]
     assert ledger_rows[0]["fastest_stage"] in schemas.STAGES
+    assert ledger_rows[0]["total_retries"] == 0
+    assert set(ledger_rows[0]["retry_information"]) == set(schemas.STAGES)
     assert history.load(spark, layout.stage_runs, schemas.STAGE_RUNS).count() == 18
     assert history.load_alerts(spark, layout.alerts).count() == 0
 
@@ -105,9 +107,23 @@ def test_batch_stops_at_the_failing_stage(spark, tmp_path, posts, stage, message
     assert alert["alert_type"] == "PIPELINE_FAILURE"
 
 
-def test_batch_without_landing(spark, tmp_path):
+def test_batch_without_landing(spark, rows, tmp_path):
     result = run_batch(spark, Layout(str(tmp_path)), NOW)
     assert (result.status, result.failed_stage) == ("FAILED", "POST INGESTION")
+    alerts = history.load_alerts(spark, Layout(str(tmp_path)).alerts)
+    assert rows(alerts, "alert_type", "stage") == [
+        ("PIPELINE_FAILURE", "POST INGESTION"), ("RETRY_EXHAUSTED", "POST INGESTION")]
+
+
+def test_failure_after_the_last_stage(spark, tmp_path):
+    fill(tmp_path)
+    result = run_batch(spark, Layout(str(tmp_path)), NOW, landing_layout="array",
+                       publish_to="nowhere://bucket/mart")
+    assert (result.status, result.failed_stage) == ("FAILED", None)
+    alert = history.load_alerts(spark, Layout(str(tmp_path)).alerts).first()
+    assert alert["message"] == "Pipeline failed during None"
+    row = history.load(spark, Layout(str(tmp_path)).runs, schemas.RUNS).first()
+    assert (row["successful_stages"], row["failed_stage"]) == (9, None)
 
 
 def test_merge_stream_replays(spark, rows, tmp_path):

@@ -145,6 +145,16 @@ def test_insert_only(spark, rows):
         (1, "EXISTING"), (2, "BOTH"), (3, "INCOMING")]
 
 
+def test_append_new_rows(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "old", 0)], "k long, v string, o int").write.parquet(path)
+    incoming = spark.createDataFrame([(1, "new", 0), (2, "b", 1), (2, "a", 0)],
+                                     "k long, v string, o int")
+    assert tables.append_new_rows(incoming, path, "k", ["o"]) == 1
+    assert tables.append_new_rows(incoming, path, "k", ["o"]) == 0
+    assert rows(tables.read_table(spark, path), "k", "v") == [(1, "old"), (2, "a")]
+
+
 def test_keep_first_is_pruned_before_the_shuffle(spark):
     df = spark.range(100).selectExpr("id % 3 AS k", "id AS o")
     first = merge.keep_first(df, "k", ["o"])

@@ -55,6 +55,7 @@ def test_sizes(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     assert 0 < sizing.estimated_bytes(events) < 1_000_000
     assert sizing.is_small(events) and not sizing.is_small(events, 10)
+    assert sizing.estimated_bytes(events.select(F.explode(F.array("value", "value")))) is None
     with pytest.raises(ValueError, match="lookup rows exceed"):
         sizing.dimension(spark, {"k": range(sizing.MAX_DIMENSION_ROWS + 1)})
 

@@ -114,7 +114,7 @@ def _(spark, sf_dir):
     mart = tables.read_current(spark, layout.mart)
     return mart.select(
         "post_id", "user_id", "name", "title",
-        F.date_format("processed_at", CLOCK).alias("processed_at"),
+        F.date_format(utc_wall_clock("processed_at"), CLOCK).alias("processed_at"),
     )
 
 

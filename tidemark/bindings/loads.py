@@ -176,6 +176,21 @@ def _(spark, sf_dir):
     )
 
 
+@query(
+    "f1_incremental_append",
+    f"{INSERT_ONLY} SELECT * FROM existing UNION ALL SELECT * FROM added",
+)
+def _(spark, sf_dir):
+    """The curated table on disk gains the unseen rows; a second load adds none."""
+    rows = stage_runs(spark, sf_dir).select("run_id", "stage_name", "event_id")
+    path = scratch_dir(spark, "f1")
+    existing = rows.filter(F.col("stage_name") == "error")
+    merge.keep_first(existing, "run_id", ["event_id"]).write.parquet(path)
+    tables.append_new_rows(rows, path, "run_id", ["event_id"])
+    tables.append_new_rows(rows, path, "run_id", ["event_id"])
+    return tables.read_table(spark, path)
+
+
 @query("f1_appended_rows", f"{INSERT_ONLY} SELECT * FROM added")
 def _(spark, sf_dir):
     rows = stage_runs(spark, sf_dir).select("run_id", "stage_name", "event_id")

@@ -181,7 +181,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
-    return _clocked(enrich.with_batch_time(docs, F.lit(FIRST).cast("timestamp_ntz")))
+    return _clocked(enrich.with_batch_time(docs, F.expr(f"TIMESTAMP_NTZ'{FIRST}'")))
 
 
 @query(

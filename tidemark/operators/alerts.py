@@ -48,7 +48,7 @@ def formatted(alerts: DataFrame) -> DataFrame:
         F.lit(""),
         F.concat(F.lit("Severity: "), F.col("severity")),
         F.concat(F.lit("Status: "), F.col("status")),
-        F.concat(F.lit("Run ID: "), F.col("run_id")),
+        F.concat(F.lit("Run ID: "), F.coalesce(F.col("run_id"), F.lit("None"))),
         labelled("Failed Stage", F.col("failed_stage")),
         labelled("Error", F.col("error")),
         duration,

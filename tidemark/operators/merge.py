@@ -75,11 +75,11 @@ def key_overlap(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame
     )
 
 
-def assert_mergeable(existing: DataFrame, incoming: DataFrame, key: str) -> None:
-    """Refuse null or repeated keys on either side: one key-only job for both."""
-    sides = existing.select(key, F.lit(1).alias("e"), F.lit(0).alias("i")).unionAll(
-        incoming.select(key, F.lit(0).alias("e"), F.lit(1).alias("i"))
-    )
+def assert_mergeable(existing: DataFrame | None, incoming: DataFrame, key: str) -> None:
+    """Refuse null or repeated keys on either side given: one key-only job for both."""
+    sides = incoming.select(key, F.lit(0).alias("e"), F.lit(1).alias("i"))
+    if existing is not None:
+        sides = sides.unionAll(existing.select(key, F.lit(1).alias("e"), F.lit(0).alias("i")))
     counts = sides.groupBy(key).agg(F.sum("e").alias("e"), F.sum("i").alias("i"))
     bad = counts.filter((F.col("e") > 1) | (F.col("i") > 1) | F.col(key).isNull()).limit(1)
     for row in bad.collect():
@@ -157,7 +157,7 @@ def upsert(
     compare: Sequence[str] | None = None,
     lineage: bool = True,
     strategy: str = "auto",
-    validate: bool = True,
+    validate: str = "both",
 ) -> DataFrame:
     """Merge ``incoming`` into ``existing`` by unique key, with a ``change`` column.
 
@@ -165,12 +165,16 @@ def upsert(
     decide UPDATED versus UNCHANGED; by default all of them do.  ``strategy``:
     ``full_outer`` shuffles both sides once; ``lookup`` suits a batch that is
     small next to the target, which then stays where it is; ``auto`` takes
-    ``lookup`` when the batch is estimated within ``LOOKUP_BYTES``.
+    ``lookup`` when the batch is estimated within ``LOOKUP_BYTES``.  ``validate``
+    names the sides whose keys are checked first: ``both``, ``incoming`` (for a
+    target that only ever was written by upserts) or ``none``.
     """
     if strategy not in ("auto", "full_outer", "lookup"):
         raise ValueError(f"unknown merge strategy {strategy!r}")
-    if validate:
-        assert_mergeable(existing, incoming, key)
+    if validate not in ("both", "incoming", "none"):
+        raise ValueError(f"unknown validation {validate!r}")
+    if validate != "none":
+        assert_mergeable(existing if validate == "both" else None, incoming, key)
     if strategy == "auto":
         strategy = "lookup" if is_small(incoming, LOOKUP_BYTES) else "full_outer"
     pair = _pair_lookup if strategy == "lookup" else _pair_full_outer

@@ -19,6 +19,12 @@ def _count_status(status: str):
     return F.count_if(F.col("status") == status)
 
 
+def _mean_duration():
+    """0.0 without runs; null if there are runs but none was measured."""
+    mean = exact_avg(measure("total_duration"))
+    return F.when(F.count("*") > 0, mean).otherwise(0.0).alias("average_duration")
+
+
 def total_runs(runs: DataFrame) -> DataFrame:
     return runs.agg(F.count("*").alias("total_runs"))
 
@@ -35,9 +41,7 @@ def success_rate(runs: DataFrame) -> DataFrame:
 
 
 def average_duration(runs: DataFrame) -> DataFrame:
-    return runs.agg(
-        F.coalesce(exact_avg(measure("total_duration")), F.lit(0.0)).alias("average_duration")
-    )
+    return runs.agg(_mean_duration())
 
 
 def run_summary(runs: DataFrame) -> DataFrame:
@@ -47,7 +51,7 @@ def run_summary(runs: DataFrame) -> DataFrame:
         _count_status(SUCCESS).alias("successful_runs"),
         _count_status(FAILED).alias("failed_runs"),
         percentage(_count_status(SUCCESS), F.count("*")).alias("success_rate"),
-        F.coalesce(exact_avg(measure("total_duration")), F.lit(0.0)).alias("average_duration"),
+        _mean_duration(),
     )
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.functions.text import utc_wall_clock
 from tidemark.operators import alerts as alerting
 from tidemark.operators import checks
 from tidemark.operators.enrich import enrich_posts, prune_users
@@ -107,13 +108,16 @@ def check_staged(posts: DataFrame) -> DataFrame:
 def merge_posts(spark: SparkSession, staged: DataFrame, root: str) -> dict[str, int]:
     """Publish a new version of the curated posts; returns the change counts.
 
+    Earlier versions were merged the same way, so their keys need no second look.
+
     The counts are observed after the last shuffle of the write itself, where each
     task reports once even if it is retried.
     """
     existing = tables.read_current(spark, root)
     if existing is None:
         existing = spark.createDataFrame([], staged.schema)
-    merged = sorted_by_key(upsert(existing, staged, "post_id"), "post_id")
+    merged = upsert(existing, staged, "post_id", validate="incoming")
+    merged = sorted_by_key(merged, "post_id")
     seen = Observation()
     kinds = ("INSERTED", "UPDATED", "UNCHANGED", "KEPT")
     counted = merged.observe(
@@ -232,15 +236,27 @@ def _record(spark: SparkSession, layout: Layout, now: datetime, result: BatchRes
     quality = history.load_quality(spark, layout.quality).filter(
         F.col("run_id") == result.run_id
     )
+    attempts = spark.createDataFrame(
+        [
+            (result.run_id, name, "SUCCESS" if name in result.durations else "FAILED", 1, 0)
+            for name in [*result.durations, result.failed_stage]
+            if name is not None
+        ],
+        "run_id string, stage_name string, status string, attempts long, retries long",
+    ).withColumn("error", F.lit(result.error).cast("string"))
     places = F.array_position(F.array(*[F.lit(s) for s in schemas.STAGES]), F.col("stage_name"))
     history.append_runs(
-        run_records(facts, stage_rows.withColumn("place", places), quality, order="place"),
+        run_records(
+            facts, stage_rows.withColumn("place", places), quality, attempts, order="place"
+        ),
         layout.runs,
     )
+    at = utc_wall_clock(F.lit(now))
     history.append_alerts(
         alerting.all_alerts(
-            alerting.failure_alerts(facts, F.lit(now)),
-            alerting.quality_alerts(quality, F.lit(now)),
+            alerting.failure_alerts(facts, at),
+            alerting.quality_alerts(quality, at),
+            alerting.retry_alerts(attempts, at),
         ),
         layout.alerts,
     )

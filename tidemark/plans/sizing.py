@@ -9,16 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_DIMENSION_ROWS = 10_000
-SMALL_INPUT_BYTES = 64 * 1024 * 1024
+SMALL_INPUT_BYTES = 16 * 1024 * 1024
+_MULTIPLYING = ("Generate ", "Expand ", "InPandas", "InArrow")
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer's size estimate, without running a job; None if it has none."""
+    """Optimizer's size estimate, without running a job; None if it is no upper bound.
+
+    Scans are estimated from their files and joins from the product of both sides.
+    A plan that multiplies rows on its own has no usable estimate: write it first.
+    """
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
+        plan = df._jdf.queryExecution().optimizedPlan()
     except AttributeError:  # a remote session does not expose plan statistics
         return None
+    text = plan.toString()
+    if any(node in text for node in _MULTIPLYING):
+        return None
+    return int(str(plan.stats().sizeInBytes()))
 
 
 def is_small(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> bool:

@@ -5,15 +5,21 @@ A history is never read back to be rewritten; each append only adds files.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from tidemark import schemas
+from tidemark.functions.text import utc_wall_clock
 from tidemark.operators.enrich import conform
 from tidemark.operators.ledger import normalized_runs
 from tidemark.plans.scratch import materialized
 from tidemark.sources.paths import exists
 
+RUN_DATE = "run_date"
+
 
 def append(df: DataFrame, path: str, schema: StructType) -> bool:
     """Append rows in the history's own layout; nothing is written for no rows.
@@ -31,11 +37,22 @@ def load(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A history in its own layout, with older files filled up by nulls."""
     if not exists(spark, path):
         raise FileNotFoundError(f"history not found: {path}")
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def load_runs(spark: SparkSession, path: str, since: date | None = None) -> DataFrame:
+    """The run ledger; ``since`` reads only runs started on that day (UTC) or later."""
+    if since is None:
+        return load(spark, path, schemas.RUNS)
+    if not exists(spark, path):
+        raise FileNotFoundError(f"history not found: {path}")
+    dated = StructType(schemas.RUNS.fields + [StructField(RUN_DATE, DateType(), True)])
+    recent = spark.read.schema(dated).parquet(path).filter(F.col(RUN_DATE) >= F.lit(since))
+    return recent.select(*schemas.RUNS.names)
 
 
 def append_runs(runs: DataFrame, path: str) -> bool:
-    """Append run records; a run that is in the ledger already is refused."""
+    """Append run records by start day; a run that is in the ledger already is refused."""
     spark = runs.sparkSession
     rows = materialized(normalized_runs(runs), "runs")
     ids = rows.select("run_id")
@@ -47,7 +64,8 @@ def append_runs(runs: DataFrame, path: str) -> bool:
         raise ValueError(f"run {row['run_id']} is already recorded")
     if rows.isEmpty():
         return False
-    rows.write.mode("append").parquet(path)
+    day = F.to_date(utc_wall_clock("started_at"))
+    rows.withColumn(RUN_DATE, day).write.mode("append").partitionBy(RUN_DATE).parquet(path)
     return True
 
 

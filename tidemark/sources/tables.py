@@ -2,15 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.operators.merge import new_rows
+from tidemark.plans.scratch import materialized
 from tidemark.sources.paths import children, delete, exists
 
 VERSION = "version="
 
 
+def append_new_rows(
+    incoming: DataFrame, path: str, key: str, order_by: Sequence[str]
+) -> int:
+    """Append the incoming rows whose key the table lacks; returns how many.
+
+    The table is neither rewritten nor, without new rows, touched.
+    """
+    existing = read_table(incoming.sparkSession, path)
+    added = materialized(new_rows(existing, incoming, key, order_by), "added")
+    count = added.count()
+    if count:
+        added.write.mode("append").parquet(path)
+    return count
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Parquet scan; a missing path is a FileNotFoundError."""
     if not exists(spark, path):

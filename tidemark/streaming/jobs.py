@@ -72,7 +72,7 @@ def merge_stream(
         existing = read_current(spark, root, before=version)
         if existing is None:
             existing = spark.createDataFrame([], rows.schema)
-        merged = upsert(existing, rows, key, compare, lineage).drop(CHANGE)
+        merged = upsert(existing, rows, key, compare, lineage, validate="incoming").drop(CHANGE)
         publish_version(sorted_by_key(merged, key), root, version)
 
     return (
