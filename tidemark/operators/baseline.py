@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.numeric import exact_avg, round_even
 from tidemark.operators.percentiles import selected_percentiles
 from tidemark.operators.stages import cleaned
+from tidemark.plans.scratch import materialized
 from tidemark.plans.sizing import is_small
 
 # The percentiles of a baseline, by output column.
@@ -35,7 +36,9 @@ def _statistics(stage_runs: DataFrame, method: str) -> DataFrame:
         aggregates.append(F.percentile_approx("duration", points, 10_000).alias("percentiles"))
     statistics = rows.groupBy("stage_name").agg(*aggregates)
     if method == "selection":
-        chosen = selected_percentiles(rows, "stage_name", "duration", points)
+        statistics = materialized(statistics, "statistics")
+        spans = statistics.select("stage_name", F.col("executions").alias("n"), "low", "high")
+        chosen = selected_percentiles(rows, "stage_name", "duration", points, spans=spans)
         statistics = statistics.join(chosen, "stage_name", "left")
     return statistics
 

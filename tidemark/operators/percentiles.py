@@ -17,9 +17,6 @@ from pyspark.sql import functions as F
 from tidemark.plans.scratch import materialized
 from tidemark.plans.sizing import MAX_DIMENSION_ROWS
 
-_INTERVAL = ["g", "low", "high", "below", "targets"]
-
-
 def _magnitude(value: Column) -> Column:
     """Signed logarithmic scale: spreads a body of values apart from far outliers."""
     return F.signum(value) * F.log1p(F.abs(value) * F.lit(1e6))
@@ -31,15 +28,17 @@ def _bucket(value: Column, low: Column, high: Column, buckets: int) -> Column:
     return F.coalesce(F.least(place, F.lit(buckets - 1)), F.lit(0)).cast("int")
 
 
-def _narrowed(histogram: DataFrame, by: str) -> DataFrame:
+def _narrowed(histogram: DataFrame, intervals: DataFrame, by: str) -> DataFrame:
     """Keep the steps of each interval that hold a target rank, with those targets."""
     window = (
-        Window.partitionBy("g", "low", "high")
-        .orderBy(by)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy("id").orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
+    )
+    stepped = (
+        histogram.withColumn("upto", F.sum("c").over(window))
+        .join(intervals.select("id", "g", "below", "targets"), "id")
+        .withColumn("upto", F.col("below") + F.col("upto"))
+        .withColumn("start", F.col("upto") - F.col("c"))
     )
-    upto = F.col("below") + F.sum("c").over(window)
-    stepped = histogram.withColumn("upto", upto).withColumn("start", F.col("upto") - F.col("c"))
     held = F.filter(
         "targets", lambda t: (t["rank"] >= F.col("start")) & (t["rank"] < F.col("upto"))
     )
@@ -53,23 +52,29 @@ def selected_percentiles(
     probabilities: Sequence[float],
     rounds: int = 2,
     buckets: int = 4096,
+    spans: DataFrame | None = None,
 ) -> DataFrame:
     """``(group, percentiles)`` by linear interpolation, null groups and values left out.
 
     The first round buckets on a logarithmic scale, later ones linearly.  The few
     distinct values left in an interval are then counted and ranked one by one,
-    so the result is exact for any distribution.  Group spans are written to the
-    scratch folder first: their number decides whether they may be broadcast.
+    so the result is exact for any distribution.  The intervals of each round are
+    a small table in the scratch folder; the number of groups decides whether it
+    may be broadcast.  ``spans`` saves a scan for a caller that already has
+    ``(group, n, low, high)`` in a written table.
     """
     rows = df.select(F.col(group).alias("g"), F.col(value).alias("v")).filter(
         F.col("g").isNotNull() & F.col("v").isNotNull()
     )
-    spans = materialized(
-        rows.groupBy("g").agg(
-            F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
-        ),
-        "spans",
-    )
+    if spans is None:
+        spans = materialized(
+            rows.groupBy("g").agg(
+                F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
+            ),
+            "spans",
+        )
+    else:
+        spans = spans.withColumnRenamed(group, "g").filter(F.col("g").isNotNull() & (F.col("n") > 0))
     bounded = spans.count() <= MAX_DIMENSION_ROWS
 
     def target(i: int, p: float, side) -> Column:
@@ -83,13 +88,22 @@ def selected_percentiles(
     wanted = [
         target(i, p, side) for i, p in enumerate(probabilities) for side in (F.floor, F.ceil)
     ]
-    intervals = spans.select(
-        "g", "low", "high", F.lit(0).cast("long").alias("below"), F.array(*wanted).alias("targets")
+    intervals = materialized(
+        spans.select(
+            F.monotonically_increasing_id().alias("id"),
+            "g",
+            "low",
+            "high",
+            F.lit(0).cast("long").alias("below"),
+            F.array(*wanted).alias("targets"),
+        ),
+        "intervals",
     )
 
     def inside(intervals: DataFrame) -> DataFrame:
         # At most two intervals per percentile and group.
-        lookup = F.broadcast(intervals) if bounded else intervals
+        lookup = intervals.select("id", "g", "low", "high")
+        lookup = F.broadcast(lookup) if bounded else lookup
         return rows.join(lookup, "g").filter(F.col("v").between(F.col("low"), F.col("high")))
 
     for turn in range(rounds):
@@ -97,18 +111,20 @@ def selected_percentiles(
         edges = [scale(F.col(c)) for c in ("v", "low", "high")]
         histogram = (
             inside(intervals)
-            .groupBy(*_INTERVAL, _bucket(*edges, buckets).alias("b"))
+            .groupBy("id", _bucket(*edges, buckets).alias("b"))
             .agg(F.count("*").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi"))
         )
-        intervals = _narrowed(histogram, "b").select(
+        steps = _narrowed(histogram, intervals, "b").select(
+            F.monotonically_increasing_id().alias("id"),
             "g",
             F.col("lo").alias("low"),
             F.col("hi").alias("high"),
             F.col("start").alias("below"),
             "targets",
         )
-    counted = inside(intervals).groupBy(*_INTERVAL, "v").agg(F.count("*").alias("c"))
-    ranked = _narrowed(counted, "v").select("g", "v", F.explode("targets").alias("t"))
+        intervals = materialized(steps, "intervals")
+    counted = inside(intervals).groupBy("id", "v").agg(F.count("*").alias("c"))
+    ranked = _narrowed(counted, intervals, "v").select("g", "v", F.explode("targets").alias("t"))
     # The values at the ranks either side of each percentile's position.
     of = [F.col("t.i") == i for i in range(len(probabilities))]
     per_group = ranked.groupBy("g").agg(
