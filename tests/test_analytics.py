@@ -239,6 +239,18 @@ def test_sla(spark, rows, sla_runs):
     assert none.columns == ["run_id", "stage_name", "duration", "sla_threshold"]
 
 
+def test_sla_thresholds_from_a_table(spark, sla_runs):
+    table = spark.createDataFrame(
+        [("USER INGESTION", 1.0, 1), ("POST INGESTION", 2.0, 0), ("NONE", 1.0, 2)],
+        "stage_name string, sla_threshold double, ord int")
+    report = [tuple(r)[:4] for r in sla.stage_report(sla_runs, table).collect()]
+    assert report == [("POST INGESTION", 3, 2.0, 1), ("USER INGESTION", 2, 1.0, 1),
+                      ("NONE", 0, 1.0, 0)]
+    assert tuple(sla.overall_report(sla_runs, table).first()) == (
+        5, 2, 60.0, "USER INGESTION", 50.0)
+    assert sla.violations(sla_runs, table).count() == 2
+
+
 def test_sla_edges(spark, sla_runs):
     empty = sla_runs.limit(0)
     assert [r["sla_status"] for r in sla.stage_report(empty).collect()] == ["NO DATA"] * 9

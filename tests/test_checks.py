@@ -124,9 +124,10 @@ def test_relationship(spark, rows, strategy):
     found = checks.orphans(posts, users, "user_id", strategy)
     assert rows(found, "post_id", "user_id") == [(90, 7), (91, None)]
     with pytest.raises(checks.CheckFailed, match="no matching user"):
-        checks.assert_passed(checks.relationship(posts, users, "user_id", strategy))
+        checks.assert_passed(checks.relationship(posts, users, "user_id"))
+    assert checks.relationship(posts, users, "user_id").first()["violations"] == 2
     good = posts.filter("user_id = 1")
-    checks.assert_passed(checks.relationship(good, users, "user_id", strategy))
+    checks.assert_passed(checks.relationship(good, users, "user_id"))
 
 
 def test_enrichment(spark):

@@ -178,3 +178,8 @@ def test_versions(spark, rows, tmp_path):
     assert tables.versions(spark, root) == [1, 2]
     with pytest.raises(FileNotFoundError):
         tables.read_table(spark, str(tmp_path / "absent"))
+    tables.publish_version(posts(spark, p9="Nine"), root, version=4)
+    assert tables.drop_old_versions(spark, root, keep=2) == [1]
+    assert tables.versions(spark, root) == [2, 4]
+    with pytest.raises(ValueError):
+        tables.drop_old_versions(spark, root, keep=1)

@@ -56,8 +56,10 @@ def test_sizes(spark, sf_dir):
     assert 0 < sizing.estimated_bytes(events) < 1_000_000
     assert sizing.is_small(events) and not sizing.is_small(events, 10)
     assert sizing.estimated_bytes(events.select(F.explode(F.array("value", "value")))) is None
-    with pytest.raises(ValueError, match="lookup rows exceed"):
-        sizing.dimension(spark, {"k": range(sizing.MAX_DIMENSION_ROWS + 1)})
+    few = sizing.dimension(spark, {"k": [1, 2]})
+    many = sizing.dimension(spark, {"k": range(sizing.MAX_DIMENSION_ROWS + 1)})
+    hinted = [d._jdf.queryExecution().logical().toString() for d in (few, many)]
+    assert ["broadcast" in text.lower() for text in hinted] == [True, False]
 
 
 def test_scratch_is_below_the_named_folder(spark):

@@ -111,6 +111,8 @@ def failed_stage(
     ``also`` adds run-level aggregates to the same pass.  Each run is folded into a
     bit per stage: a fixed-width buffer, and no run-by-stage product.
     """
+    if len(stages) > 63:
+        raise ValueError("at most 63 stages fit the bits of a run")
     table = dimension(
         stage_rows.sparkSession,
         {"stage_name": list(stages), "bit": [1 << i for i in range(len(stages))]},

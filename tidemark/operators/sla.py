@@ -1,6 +1,7 @@
 """SLA violations, compliance, reports and recommendations.
 
-``thresholds`` is an ordered mapping of stage name to seconds.
+``thresholds`` is an ordered mapping of stage name to seconds, or a table
+``(stage_name, sla_threshold, ord)`` with one row per stage.
 """
 
 from __future__ import annotations
@@ -12,14 +13,21 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import percentage, round_even
 from tidemark.operators.stages import cleaned
-from tidemark.plans.sizing import dimension
+from tidemark.plans.sizing import MAX_DIMENSION_ROWS, dimension
+from tidemark.plans.skew import keyed_join
 from tidemark.schemas import STAGE_SLA
 
+Thresholds = Mapping[str, float] | DataFrame
 
-def threshold_table(
-    spark: SparkSession, thresholds: Mapping[str, float] = STAGE_SLA
-) -> DataFrame:
-    """Lookup ``(stage_name, sla_threshold, ord)`` of checked size."""
+
+def _bounded(thresholds: Thresholds) -> bool:
+    return not isinstance(thresholds, DataFrame) and len(thresholds) <= MAX_DIMENSION_ROWS
+
+
+def threshold_table(spark: SparkSession, thresholds: Thresholds = STAGE_SLA) -> DataFrame:
+    """Lookup ``(stage_name, sla_threshold, ord)``; a mapping is of known size."""
+    if isinstance(thresholds, DataFrame):
+        return thresholds.select("stage_name", "sla_threshold", "ord")
     return dimension(
         spark,
         {
@@ -31,14 +39,24 @@ def threshold_table(
 
 
 def configured_executions(
-    stage_runs: DataFrame, thresholds: Mapping[str, float] = STAGE_SLA
+    stage_runs: DataFrame, thresholds: Thresholds = STAGE_SLA
 ) -> DataFrame:
     """Executions of stages that have a threshold, with it."""
     table = threshold_table(stage_runs.sparkSession, thresholds).drop("ord")
-    return cleaned(stage_runs).join(table, "stage_name")
+    return _with_thresholds(stage_runs, table, thresholds, "inner")
 
 
-def violations(stage_runs: DataFrame, thresholds: Mapping[str, float] = STAGE_SLA) -> DataFrame:
+def _with_thresholds(
+    stage_runs: DataFrame, table: DataFrame, thresholds: Thresholds, how: str
+) -> DataFrame:
+    """A map-side lookup; a table of unknown size is joined with hot stages spread."""
+    rows = cleaned(stage_runs)
+    if _bounded(thresholds):
+        return rows.join(table, "stage_name", how)
+    return keyed_join(rows, table, "stage_name", how)
+
+
+def violations(stage_runs: DataFrame, thresholds: Thresholds = STAGE_SLA) -> DataFrame:
     """Executions above their stage's threshold; the same four columns even when none."""
     return (
         configured_executions(stage_runs, thresholds)
@@ -84,7 +102,7 @@ def _rates(df: DataFrame) -> DataFrame:
     )
 
 
-def _ordered_report(stage_runs: DataFrame, thresholds: Mapping[str, float]) -> DataFrame:
+def _ordered_report(stage_runs: DataFrame, thresholds: Thresholds) -> DataFrame:
     table = threshold_table(stage_runs.sparkSession, thresholds)
     # Counting happens before the outer join, so that one sees a row per stage.
     counted = (
@@ -96,9 +114,8 @@ def _ordered_report(stage_runs: DataFrame, thresholds: Mapping[str, float]) -> D
         )
     )
     # At most one counted row per threshold: bounded by the lookup's own size check.
-    report = table.join(F.broadcast(counted), "stage_name", "left").fillna(
-        0, ["executions", "violations"]
-    )
+    counted = F.broadcast(counted) if _bounded(thresholds) else counted
+    report = table.join(counted, "stage_name", "left").fillna(0, ["executions", "violations"])
     return _rates(report)
 
 
@@ -114,15 +131,17 @@ _REPORT = [
 
 
 def stage_report(
-    stage_runs: DataFrame, thresholds: Mapping[str, float] = STAGE_SLA
+    stage_runs: DataFrame, thresholds: Thresholds = STAGE_SLA
 ) -> DataFrame:
     """SLA performance of every configured stage, in the order of ``thresholds``."""
     report = _ordered_report(stage_runs, thresholds)
-    # One row per threshold, so one task may sort them; no range sampling for a few rows.
-    return report.coalesce(1).sortWithinPartitions("ord").select(*_REPORT)
+    if _bounded(thresholds):
+        # One row per threshold: one task may sort them without sampling ranges.
+        return report.coalesce(1).sortWithinPartitions("ord").select(*_REPORT)
+    return report.orderBy("ord").select(*_REPORT)
 
 
-def worst_stage(stage_runs: DataFrame, thresholds: Mapping[str, float] = STAGE_SLA) -> DataFrame:
+def worst_stage(stage_runs: DataFrame, thresholds: Thresholds = STAGE_SLA) -> DataFrame:
     """The configured stage with data and the highest violation rate; first on a tie."""
     return (
         _ordered_report(stage_runs, thresholds)
@@ -134,7 +153,7 @@ def worst_stage(stage_runs: DataFrame, thresholds: Mapping[str, float] = STAGE_S
 
 
 def overall_report(
-    stage_runs: DataFrame, thresholds: Mapping[str, float] = STAGE_SLA
+    stage_runs: DataFrame, thresholds: Thresholds = STAGE_SLA
 ) -> DataFrame:
     """One row over all executions, configured or not, with the worst stage.
 
@@ -143,8 +162,7 @@ def overall_report(
     """
     table = threshold_table(stage_runs.sparkSession, thresholds)
     per_stage = (
-        cleaned(stage_runs)
-        .join(table, "stage_name", "left")
+        _with_thresholds(stage_runs, table, thresholds, "left")
         .groupBy("stage_name", "ord")
         .agg(
             F.count("*").alias("executions"),
@@ -172,7 +190,7 @@ def overall_report(
 
 
 def recommendations(
-    baseline: DataFrame, thresholds: Mapping[str, float] = STAGE_SLA
+    baseline: DataFrame, thresholds: Thresholds = STAGE_SLA
 ) -> DataFrame:
     """KEEP or INVESTIGATE for every stage that has a baseline and a threshold."""
     table = threshold_table(baseline.sparkSession, thresholds).drop("ord")

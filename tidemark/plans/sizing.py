@@ -35,14 +35,10 @@ def is_small(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> bool:
 
 
 def dimension(spark: SparkSession, columns: Mapping[str, Sequence]) -> DataFrame:
-    """A driver-supplied lookup table, bounded by ``MAX_DIMENSION_ROWS``.
+    """A driver-supplied lookup table, with a broadcast hint up to ``MAX_DIMENSION_ROWS``.
 
-    Only such a table carries a broadcast hint.  A lookup that arrives as a
-    DataFrame gets none: adaptive execution measures it and decides.
+    A larger one gets no hint: its size is known to the optimizer, which decides.
     """
     table = pa.table({name: list(values) for name, values in columns.items()})
-    if table.num_rows > MAX_DIMENSION_ROWS:
-        raise ValueError(
-            f"{table.num_rows} lookup rows exceed {MAX_DIMENSION_ROWS}: pass a DataFrame instead"
-        )
-    return F.broadcast(spark.createDataFrame(table))
+    lookup = spark.createDataFrame(table)
+    return F.broadcast(lookup) if table.num_rows <= MAX_DIMENSION_ROWS else lookup

@@ -79,6 +79,19 @@ def read_current(
     return read_table(spark, version_path(root, known[-1]), schema) if known else None
 
 
+def drop_old_versions(spark: SparkSession, root: str, keep: int) -> list[int]:
+    """Delete all but the newest ``keep`` complete versions; returns those deleted.
+
+    Keep at least two: a reader may still be on the version before the newest.
+    """
+    if keep < 2:
+        raise ValueError("at least two versions are kept")
+    old = versions(spark, root)[:-keep]
+    for version in old:
+        delete(spark, version_path(root, version))
+    return old
+
+
 def publish_version(
     df: DataFrame, root: str, version: int | None = None, allow_empty: bool = True
 ) -> int:
