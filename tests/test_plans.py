@@ -7,7 +7,7 @@ from tidemark.bindings import catalog
 from tidemark.bindings.tables import THRESHOLDS, stage_runs
 from tidemark.functions.numeric import exact_avg, percentage, round_even
 from tidemark.operators import baseline, sla
-from tidemark.plans import scratch, sizing, skew
+from tidemark.plans import scratch, session, sizing, skew
 
 
 def plan(df):
@@ -67,6 +67,18 @@ def test_scratch_is_below_the_named_folder(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert named is None or root == named.rstrip("/")
     assert scratch.scratch_dir(spark, "x") != scratch.scratch_dir(spark, "x")
+    kept = scratch.materialized(spark.range(3), "three")
+    assert sorted(r[0] for r in kept.collect()) == [0, 1, 2]
+    assert all(f"{root}/tidemark-" in name.replace("file://", "") for name in kept.inputFiles())
+
+
+def test_session_sizes():
+    tib = 1024**4
+    assert session.partitions_for(10, cores=8) == 8
+    assert session.partitions_for(tib) == 8192
+    assert session.partitions_for(100 * tib) == session.MAX_PARTITIONS
+    assert session.split_bytes_for(tib) == session.PARTITION_BYTES
+    assert session.split_bytes_for(100 * tib) == session.MAX_SPLIT_BYTES
 
 
 def test_rounding(spark):

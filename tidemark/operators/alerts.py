@@ -17,6 +17,13 @@ from tidemark.operators.merge import union_drifted
 from tidemark.operators.runs import FAILED, HEALTHY, WARNING, failed_runs
 from tidemark.schemas import RETRYABLE_STAGES
 
+# Type and severity of each kind of alert, and the heading of a text.
+PIPELINE_FAILURE = ("PIPELINE_FAILURE", "CRITICAL")
+DATA_QUALITY_FAILURE = ("DATA_QUALITY_FAILURE", "HIGH")
+SLA_VIOLATION = ("SLA_VIOLATION", "WARNING")
+RETRY_EXHAUSTED = ("RETRY_EXHAUSTED", "CRITICAL")
+HEADING = "🚨 PIPELINE ALERT"
+
 
 def status_alerts(runs: DataFrame) -> DataFrame:
     """FAILED gives CRITICAL, WARNING gives WARNING, HEALTHY gives no row.
@@ -44,7 +51,7 @@ def formatted(alerts: DataFrame) -> DataFrame:
     """Add ``text``, the readable form; empty or null optional fields are left out."""
     duration = F.concat(F.lit("Duration: "), F.col("total_duration").cast("string"), F.lit("s"))
     text = lines(
-        F.lit("🚨 PIPELINE ALERT"),
+        F.lit(HEADING),
         F.lit(""),
         F.concat(F.lit("Severity: "), F.col("severity")),
         F.concat(F.lit("Status: "), F.col("status")),
@@ -59,14 +66,14 @@ def formatted(alerts: DataFrame) -> DataFrame:
 def envelope(
     df: DataFrame,
     at: Column | str,
-    alert_type: str,
-    severity: str,
+    kind: tuple[str, str],
     message: Column,
     stage: Column | None = None,
     details: dict[str, Column] | None = None,
 ) -> DataFrame:
     """The eight alert fields; ``details`` becomes a text map, empty when None."""
     at = as_column(at)
+    alert_type, severity = kind
     if details:
         pairs = [item for k, v in details.items() for item in (F.lit(k), v.cast("string"))]
         detail_map = F.create_map(*pairs)
@@ -89,8 +96,7 @@ def failure_alerts(runs: DataFrame, at: Column | str) -> DataFrame:
     return envelope(
         failed_runs(runs),
         at,
-        "PIPELINE_FAILURE",
-        "CRITICAL",
+        PIPELINE_FAILURE,
         # A run that failed after its last stage has no failed stage to name.
         F.concat(F.lit("Pipeline failed during "), F.coalesce(stage, F.lit("None"))),
         stage,
@@ -104,8 +110,7 @@ def quality_alerts(quality: DataFrame, at: Column | str) -> DataFrame:
     return envelope(
         quality.filter(~F.col("quality_status").eqNullSafe(F.lit("PASSED"))),
         at,
-        "DATA_QUALITY_FAILURE",
-        "HIGH",
+        DATA_QUALITY_FAILURE,
         F.lit("Data quality validation failed"),
         details={name: F.col(name) for name in names},
     )
@@ -116,8 +121,7 @@ def sla_alerts(violations: DataFrame, at: Column | str) -> DataFrame:
     return envelope(
         violations,
         at,
-        "SLA_VIOLATION",
-        "WARNING",
+        SLA_VIOLATION,
         F.concat(F.col("stage_name"), F.lit(" exceeded its SLA")),
         F.col("stage_name"),
         {"duration": duration, "sla": limit, "exceeded_by": duration - limit},
@@ -139,8 +143,7 @@ def retry_alerts(
     return envelope(
         exhausted,
         at,
-        "RETRY_EXHAUSTED",
-        "CRITICAL",
+        RETRY_EXHAUSTED,
         F.concat(F.lit("Retry attempts exhausted for "), F.col("stage_name")),
         F.col("stage_name"),
         {"attempts": F.col("attempts"), "error": F.coalesce(F.col("error"), F.lit("None"))},

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources.paths import delete
+
 SETTING = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
 
@@ -29,8 +31,17 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new, unused folder name below the scratch root."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unused folder name below this application's part of the scratch root."""
+    return f"{_own_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _own_root(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/tidemark-{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote; call it once its results are written."""
+    delete(spark, _own_root(spark))
 
 
 def materialized(df: DataFrame, label: str) -> DataFrame:
