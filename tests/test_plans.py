@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from tidemark.bindings import catalog
 from tidemark.bindings.tables import THRESHOLDS, stage_runs
-from tidemark.functions.numeric import exact_avg, percentage, round_even
-from tidemark.operators import baseline, sla
+from tidemark.functions.numeric import exact_avg, exceeds, percentage, round_even
+from tidemark.operators import baseline, sla, stages
 from tidemark.plans import scratch, session, sizing, skew
 
 
@@ -96,6 +96,20 @@ def test_thresholds_need_no_shuffle(spark, sf_dir):
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
 
 
+def test_thresholds_reach_the_scan(spark, sf_dir):
+    text = plan(sla.violations(stage_runs(spark, sf_dir), THRESHOLDS))
+    assert "GreaterThan(value,10.0)" in text and "In(event_type" in text
+    text = plan(stages.slow_stages(stage_runs(spark, sf_dir), 100.0))
+    assert "GreaterThan(value,100.0)" in text
+
+
+def test_exceeds(spark):
+    df = spark.sql("SELECT * FROM VALUES (1D, '5', 5), (CAST('NaN' AS DOUBLE), 'NaN', 1),"
+                   " (9D, 'junk', NULL), (NULL, NULL, 9) AS t(d, s, i)")
+    kept = [df.filter(exceeds(df, name, 2.0)).count() for name in ("d", "s", "i")]
+    assert kept == [1, 1, 2]
+
+
 def test_report_scans_needed_columns_once(spark, sf_dir):
     text = plan(sla.overall_report(stage_runs(spark, sf_dir), THRESHOLDS))
     assert text.count("FileScan") == 1

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, DoubleType, FloatType, NumericType
 
 # Sums of measured seconds run over decimals: decimal addition is associative,
 # so a retried task or another partitioning cannot change the last digit.
@@ -21,6 +21,19 @@ def measure(col: Column | str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def exceeds(df: DataFrame, name: str, limit: float) -> Column:
+    """Whether a measured column is above ``limit``; null, NaN and text that is no number are not.
+
+    A numeric column is compared as it is, so that the comparison reaches the scan.
+    """
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, (DoubleType, FloatType)):
+        return (F.col(name) > limit) & ~F.isnan(name)
+    if isinstance(dtype, NumericType):
+        return F.col(name) > limit
+    return measure(name) > limit
+
+
 def round_even(col: Column, digits: int) -> Column:
     """Half-even rounding on ``x * 10^digits`` (Spark's own ``round`` is half-up)."""
     scale = float(10**digits)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from tidemark.functions.numeric import exact_avg, measure, percentage
+from tidemark.functions.numeric import exact_avg, exceeds, measure, percentage
 from tidemark.schemas import MAX_RETRIES, RETRYABLE_STAGES, SLOW_RUN_SECONDS
 
 SUCCESS, FAILED, WARNING, HEALTHY = "SUCCESS", "FAILED", "WARNING", "HEALTHY"
@@ -81,7 +81,7 @@ def failed_runs(runs: DataFrame) -> DataFrame:
 
 
 def slow_runs(runs: DataFrame, threshold: float = SLOW_RUN_SECONDS) -> DataFrame:
-    return runs.filter(measure("total_duration") > threshold)
+    return runs.filter(exceeds(runs, "total_duration", threshold))
 
 
 def _slow(threshold: float):

@@ -11,13 +11,14 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import percentage, round_even
+from tidemark.functions.numeric import exceeds, percentage, round_even
 from tidemark.operators.stages import cleaned
 from tidemark.plans.sizing import MAX_DIMENSION_ROWS, dimension
 from tidemark.plans.skew import keyed_join
 from tidemark.schemas import STAGE_SLA
 
 Thresholds = Mapping[str, float] | DataFrame
+LISTED_STAGES = 100
 
 
 def _bounded(thresholds: Thresholds) -> bool:
@@ -42,10 +43,18 @@ def configured_executions(
     stage_runs: DataFrame, thresholds: Thresholds = STAGE_SLA
 ) -> DataFrame:
     """Executions of stages that have a threshold, with it."""
+    stage_runs = _named(stage_runs, thresholds)
     table = threshold_table(stage_runs.sparkSession, thresholds).drop("ord")
     return _with_thresholds(stage_runs, table, thresholds, "inner")
 
 
+def _named(stage_runs: DataFrame, thresholds: Thresholds) -> DataFrame:
+    """Leave out other stages at the scan, if the configured ones are few enough to list."""
+    if isinstance(thresholds, DataFrame) or not 0 < len(thresholds) <= LISTED_STAGES:
+        return stage_runs
+    return stage_runs.filter(F.col("stage_name").isin(*thresholds))
+
+
 def _with_thresholds(
     stage_runs: DataFrame, table: DataFrame, thresholds: Thresholds, how: str
 ) -> DataFrame:
@@ -58,6 +67,10 @@ def _with_thresholds(
 
 def violations(stage_runs: DataFrame, thresholds: Thresholds = STAGE_SLA) -> DataFrame:
     """Executions above their stage's threshold; the same four columns even when none."""
+    if not isinstance(thresholds, DataFrame) and thresholds:
+        # No violation is at or below the lowest threshold: a bound the scan can use.
+        lowest = min(float(limit) for limit in thresholds.values())
+        stage_runs = stage_runs.filter(exceeds(stage_runs, "duration", lowest))
     return (
         configured_executions(stage_runs, thresholds)
         .filter(F.col("duration") > F.col("sla_threshold"))

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import exact_avg, exact_sum, measure, round_even
+from tidemark.functions.numeric import exact_avg, exact_sum, exceeds, measure, round_even
 
 ORDER = ("run_id", "stage_name")
 
@@ -188,4 +188,4 @@ def run_total_duration(stage_runs: DataFrame) -> DataFrame:
 
 
 def slow_stages(stage_runs: DataFrame, threshold: float) -> DataFrame:
-    return cleaned(stage_runs).filter(F.col("duration") > threshold)
+    return cleaned(stage_runs.filter(exceeds(stage_runs, "duration", threshold)))
