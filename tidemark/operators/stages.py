@@ -1,6 +1,6 @@
 """Statistics over stage executions ``(run_id, stage_name, duration)``.
 
-``order_by`` stands for the reference order of rows wherever two rows tie.
+``order_by`` names the columns that decide wherever two rows tie.
 """
 
 from __future__ import annotations

@@ -14,12 +14,12 @@ _local_roots: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, or else the context's own.
 
     Unset, a local session gets a temporary folder of its own; a cluster session
     is refused, since a machine-local folder would not be visible to executors.
     """
-    root = spark.conf.get(SETTING, None)
+    root = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
