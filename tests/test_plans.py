@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tidemark.bindings import catalog
 from tidemark.bindings.tables import THRESHOLDS, stage_runs
 from tidemark.functions.numeric import exact_avg, exceeds, percentage, round_even
+from tidemark.functions.text import utc_instant, utc_wall_clock
 from tidemark.operators import baseline, sla, stages
 from tidemark.plans import scratch, session, sizing, skew
 
@@ -103,6 +104,21 @@ def test_thresholds_reach_the_scan(spark, sf_dir):
     assert "GreaterThan(value,100.0)" in text
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_utc_conversions_ignore_the_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.sql("SELECT * FROM VALUES (TIMESTAMP_NTZ'2026-08-12 09:30:00.000123'),"
+                       " (TIMESTAMP_NTZ'2026-03-08 02:30:00'), (TIMESTAMP_NTZ'1969-12-31 23:59:59.5')"
+                       " AS t(w)").withColumn("i", utc_instant("w"))
+        found = df.select(F.unix_micros("i"), (utc_wall_clock("i") == F.col("w"))).collect()
+        assert [tuple(r) for r in found] == [
+            (1786527000000123, True), (1772937000000000, True), (-500000, True)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_exceeds(spark):
     df = spark.sql("SELECT * FROM VALUES (1D, '5', 5), (CAST('NaN' AS DOUBLE), 'NaN', 1),"
                    " (9D, 'junk', NULL), (NULL, NULL, 9) AS t(d, s, i)")

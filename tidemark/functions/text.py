@@ -42,11 +42,17 @@ def any_of(conditions: list[Column]) -> Column:
 
 def utc_instant(ts: Column | str) -> Column:
     """Zone-less timestamp read as UTC, whatever the session time zone is."""
-    age = as_column(ts) - F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
-    return F.expr("TIMESTAMP'1970-01-01 00:00:00Z'") + age
+    ts = as_column(ts)
+    micros = (
+        F.unix_date(F.to_date(ts)).cast("long") * 86_400_000_000
+        + F.hour(ts).cast("long") * 3_600_000_000
+        + F.minute(ts).cast("long") * 60_000_000
+        + (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("long")
+    )
+    return F.timestamp_micros(micros)
 
 
 def utc_wall_clock(ts: Column | str) -> Column:
     """The inverse of :func:`utc_instant`."""
-    age = as_column(ts) - F.expr("TIMESTAMP'1970-01-01 00:00:00Z'")
-    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + age
+    seconds = (F.unix_micros(as_column(ts)).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds)

@@ -144,12 +144,16 @@ def freshness(
     column: str = "processed_at",
 ) -> DataFrame:
     """One check row; strictly older than ``max_hours`` fails, no timestamp is NO DATA."""
-    limit = F.lit(timedelta(hours=max_hours))
     latest = df.agg(F.max(column).alias("latest"))
-    age = now - F.col("latest")
+    if isinstance(df.schema[column].dataType, TimestampType):
+        # Instants, so that a clock change in the session's zone does not count.
+        age = F.unix_micros(now) - F.unix_micros("latest")
+        too_old = age > F.lit(round(max_hours * 3_600_000_000))
+    else:
+        too_old = now - F.col("latest") > F.lit(timedelta(hours=max_hours))
     status = (
         F.when(F.col("latest").isNull(), "NO DATA")
-        .when(age > limit, "FAILED")
+        .when(too_old, "FAILED")
         .otherwise("PASSED")
     )
     return latest.select(

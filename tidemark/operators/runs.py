@@ -108,8 +108,10 @@ def monitoring_report(
     # Smallest distance from a fixed instant back to the start: latest start first,
     # and the smallest order value on a tie.
     zoned = isinstance(runs.schema["started_at"].dataType, TimestampType)
-    fixed = "TIMESTAMP'1970-01-01 00:00:00Z'" if zoned else "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-    age = F.expr(fixed) - F.col("started_at")
+    if zoned:
+        age = -F.unix_micros("started_at")
+    else:
+        age = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") - F.col("started_at")
     rank = F.when(F.col("started_at").isNotNull(), F.struct(age, F.col(order_by)))
     return runs.agg(
         F.count("*").alias("total_runs"),
