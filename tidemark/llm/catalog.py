@@ -8,13 +8,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, line_dedup, order_minhash, pieces, toxicity
+from tidemark.llm import (
+    decontaminate,
+    language,
+    licences,
+    line_dedup,
+    near_vectors,
+    order_minhash,
+    pieces,
+    records,
+    token_counts,
+    toxicity,
+)
+from tidemark.llm.storage import Written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_BPE = "byte_bpe_50k.json"
 
 
 def _query(function: Query) -> Query:
@@ -22,6 +35,32 @@ def _query(function: Query) -> Query:
     return function
 
 
+_OP1_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+  ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links,
+  least(e.vec_id, coalesce((SELECT min(b) FROM reach r WHERE r.a = e.vec_id), e.vec_id)) AS component_id,
+  e.vec_id <= coalesce((SELECT min(b) FROM reach r WHERE r.a = e.vec_id), e.vec_id) AS kept
+FROM embeddings e
+"""
+
+
+@_query
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op1_near_vectors"] = _OP1_SQL
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -57,3 +96,28 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(docs, items).withColumn(
         "similarity", F.round("similarity", 9)
     )
+
+
+@_query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    lengths = token_counts.document_lengths(docs, public_tokenizers.path(BYTE_BPE))
+    counts = Written(token_counts.histogram(lengths), "length-histogram").df
+    return token_counts.length_table(counts)
+
+
+@_query
+def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return records.write_records(docs, public_tokenizers.path(BYTE_BPE), end_id=2).digests()
+
+
+@_query
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licence_scan(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    languages, table = language.train(_table(spark, sf_dir, "documents"))
+    return language.identify(_table(spark, sf_dir, "pages"), languages, table)
