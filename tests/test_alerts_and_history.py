@@ -133,3 +133,14 @@ def test_other_histories(spark, tmp_path):
     assert ledger.latest_quality(stored).first()["run_id"] == "b"
     assert ledger.latest_quality(stored, "a").first()["run_id"] == "a"
     assert ledger.latest_quality(stored, "c").first() is None
+
+
+def test_old_ledger_rows_with_a_text_map_stay_readable(spark, tmp_path):
+    old = spark.createDataFrame(
+        [("a", '{"S": {"attempts": 2, "retries": 1}}'), ("b", "no map"), ("c", None)],
+        "run_id string, retry_information string",
+    )
+    path = str(tmp_path / "ledger")
+    assert history.append_runs(old, path)
+    found = {r.run_id: r.retry_information for r in history.load_runs(spark, path).collect()}
+    assert found["a"]["S"]["retries"] == 1 and not found["b"] and found["c"] is None

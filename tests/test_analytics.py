@@ -312,3 +312,44 @@ def test_stage_rows(spark, rows):
     )
     assert rows(ledger.stage_rows(df)) == [
         ("run-001", "POST INGESTION", 1.5), ("run-001", "USER INGESTION", 0.5)]
+
+
+def test_sums_hold_infinite_huge_and_tiny_values(spark):
+    from tidemark.functions.numeric import exact_avg, exact_sum
+
+    df = spark.createDataFrame(
+        [("i", 1.0), ("i", float("inf")), ("h", 1e20), ("h", 2.0), ("t", 1e-10), ("t", 3e-10), ("n", None)],
+        "g string, v double",
+    )
+    found = {r.g: (r.s, r.a) for r in df.groupBy("g").agg(exact_sum("v").alias("s"), exact_avg("v").alias("a")).collect()}
+    assert found["i"] == (float("inf"), float("inf"))
+    assert found["h"] == (1e20 + 2.0, 5e19 + 1.0)
+    assert found["t"] == (pytest.approx(4e-10), pytest.approx(2e-10))
+    assert found["n"] == (None, None)
+
+
+def test_text_measures_are_plain_numbers(spark):
+    from tidemark.functions.numeric import measure
+
+    texts = ["12d", "1f", "0x1p3", "1.5", " 2 ", "-3e2", ".5", "inf", "nan", "", "x", None]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    assert [r[0] for r in df.select(measure("v")).collect()] == [
+        None, None, None, 1.5, 2.0, -300.0, 0.5, float("inf"), None, None, None, None,
+    ]
+
+
+def test_failed_stage_beyond_one_word(spark, rows):
+    stages = [f"S{i:03d}" for i in range(150)]
+    df = spark.createDataFrame(
+        [("all", s) for s in stages] + [("gap", s) for s in stages if s != "S130"],
+        "run_id string, stage_name string",
+    )
+    assert rows(ledger.failed_stage(df, stages)) == [("all", 150, None), ("gap", 149, "S130")]
+
+
+def test_attempts_without_a_stage_count_in_the_total(spark):
+    df = spark.createDataFrame(
+        [("r", "A", 2, 1), ("r", None, 3, 2)], "run_id string, stage_name string, attempts long, retries long"
+    )
+    row = ledger.retry_maps(df).first()
+    assert row.total_retries == 3 and set(row.retry_information) == {"A"}

@@ -151,3 +151,32 @@ def test_merge_stream_replays(spark, rows, tmp_path):
     run()
     assert rows(tables.read_current(spark, root), "k", "v") == expected
     assert tables.versions(spark, root) == [1, 2]
+
+
+def test_a_new_checkpoint_goes_on_from_the_table(spark, rows, tmp_path):
+    schema = "k long, v string, o long"
+    root, landing = str(tmp_path / "table"), str(tmp_path / "in")
+
+    def run(checkpoint):
+        stream = spark.readStream.schema(schema).parquet(landing)
+        streams.merge_stream(
+            stream, root, str(tmp_path / checkpoint), "k", [F.col("o").desc()], lineage=False
+        ).awaitTermination()
+
+    spark.createDataFrame([(1, "a", 1), (2, "b", 1)], schema).write.parquet(landing)
+    run("first")
+    spark.createDataFrame([(2, "c", 2), (3, "d", 2)], schema).write.mode("append").parquet(landing)
+    run("first")
+    spark.createDataFrame([(4, "e", 3)], schema).write.mode("overwrite").parquet(landing)
+    run("second")
+    assert rows(tables.read_current(spark, root), "k", "v") == [(1, "a"), (2, "c"), (3, "d"), (4, "e")]
+
+
+def test_half_written_snapshots_are_not_loaded(spark, tmp_path):
+
+
+
+
+    done = landing.land(spark.range(2), str(tmp_path), "posts", datetime(2026, 1, 1))
+    (tmp_path / "posts_20270101_000000.json").mkdir()
+    assert landing.latest_snapshot(spark, str(tmp_path), "posts").endswith(done.rsplit("/", 1)[1])

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, FloatType, NumericType
 
 # Sums of measured seconds run over decimals: decimal addition is associative,
-# so a retried task or another partitioning cannot change the last digit.
+# so a retried task or another partitioning cannot change the last digit.  What a
+# decimal cannot hold (beyond its range, or below its last place) is summed apart.
 EXACT = DecimalType(28, 9)
+EXACT_RANGE = 1e18
+NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$"
 
 
 def as_column(col: Column | str) -> Column:
@@ -16,9 +19,15 @@ def as_column(col: Column | str) -> Column:
 
 
 def measure(col: Column | str) -> Column:
-    """A measured value as double; unparsable text and NaN become null."""
-    value = as_column(col).try_cast("double")
-    return F.when(~F.isnan(value), value)
+    """A measured value as double; unparsable text and NaN become null.
+
+    Text has to be a decimal number or an infinity: type suffixes and hexadecimal
+    floats, which the cast would take, are no numbers.  (The type test is folded away.)
+    """
+    column = as_column(col)
+    value = column.try_cast("double")
+    number = (F.typeof(column) != "string") | column.cast("string").rlike(NUMBER)
+    return F.when(number & ~F.isnan(value), value)
 
 
 def exceeds(df: DataFrame, name: str, limit: float) -> Column:
@@ -41,8 +50,12 @@ def round_even(col: Column, digits: int) -> Column:
 
 
 def exact_sum(col: Column | str) -> Column:
-    """Order-independent sum, returned as double."""
-    return F.sum(as_column(col).cast(EXACT)).cast("double")
+    """Order-independent sum, returned as double; infinite, huge and tiny values count too."""
+    value = as_column(col).cast("double")
+    held = F.when(F.abs(value) < EXACT_RANGE, value.cast(EXACT))
+    rest = value - F.coalesce(held.cast("double"), F.lit(0.0))
+    whole = F.coalesce(F.sum(held).cast("double"), F.lit(0.0))
+    return F.when(F.count(value) > 0, whole + F.sum(rest))
 
 
 def exact_avg(col: Column | str) -> Column:

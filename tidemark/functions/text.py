@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,10 +34,6 @@ def labelled(label: str, value: Column) -> Column:
     return F.concat(F.lit(f"{label}: "), text)
 
 
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
-
-
 def utc_instant(ts: Column | str) -> Column:
     """Zone-less timestamp read as UTC, whatever the session time zone is."""
     ts = as_column(ts)

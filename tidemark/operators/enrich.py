@@ -91,7 +91,10 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
             value = F.col(field.name).try_cast("double")
             value = F.when(~F.isnan(value), value)
         elif isinstance(field.dataType, MapType):
+            # Older layouts hold the map as JSON text; what does not parse is null.
             value = F.col(field.name)
+            if df.schema[field.name].dataType.typeName() == "string":
+                value = F.from_json(value, field.dataType)
         else:
             value = F.col(field.name).cast(field.dataType)
         columns.append(value.alias(field.name))

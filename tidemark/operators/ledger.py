@@ -12,6 +12,9 @@ from tidemark.operators.enrich import conform
 from tidemark.operators.stages import run_stage_metrics
 from tidemark.plans.sizing import dimension
 
+#: Stages in one word of bits; the sign bit is left out.
+WORD = 63
+
 
 def total_retries(attempts: Column | str = "retry_information") -> Column:
     """Retries over a map ``stage -> (attempts, retries)``; absent counts as 0."""
@@ -33,13 +36,15 @@ def retry_maps(attempts: DataFrame) -> DataFrame:
     """Per run the map ``stage -> (attempts, retries)`` and its retry total.
 
     Rows are first reduced to one per (run, stage), so a map holds one entry per
-    stage name and never the raw attempts of a run.
+    stage name and never the raw attempts of a run.  Attempts without a stage name
+    count in the total only.
     """
     per_stage = attempts.groupBy("run_id", "stage_name").agg(
         F.sum("attempts").cast("long").alias("attempts"),
         F.coalesce(F.sum("retries"), F.lit(0)).cast("long").alias("retries"),
     )
-    entry = F.struct("stage_name", F.struct("attempts", "retries").alias("value"))
+    value = F.struct("attempts", "retries").alias("value")
+    entry = F.when(F.col("stage_name").isNotNull(), F.struct("stage_name", value))
     return per_stage.groupBy("run_id").agg(
         F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("retry_information"),
         F.sum("retries").alias("total_retries"),
@@ -109,32 +114,44 @@ def failed_stage(
 
     ``completed`` tells which rows count as completions (all by default), and
     ``also`` adds run-level aggregates to the same pass.  Each run is folded into a
-    bit per stage: a fixed-width buffer, and no run-by-stage product.
+    bit per stage, ``WORD`` stages to a word: fixed-width buffers, and no run-by-stage
+    product.
     """
-    if len(stages) > 63:
-        raise ValueError("at most 63 stages fit the bits of a run")
+    words = range(-(-len(stages) // WORD))
     table = dimension(
         stage_rows.sparkSession,
-        {"stage_name": list(stages), "bit": [1 << i for i in range(len(stages))]},
+        {
+            "stage_name": list(stages),
+            "word": [i // WORD for i in range(len(stages))],
+            "bit": [1 << i % WORD for i in range(len(stages))],
+        },
     )
-    bit = F.col("bit") if completed is None else F.when(completed, F.col("bit"))
+    counts = F.lit(True) if completed is None else completed
+    marked = [
+        F.coalesce(F.bit_or(F.when(counts & (F.col("word") == w), F.col("bit"))), F.lit(0))
+        for w in words
+    ]
     done = (
         stage_rows.join(table, "stage_name", "left")
         .groupBy("run_id")
         .agg(
-            F.coalesce(F.bit_or(bit), F.lit(0)).alias("done"),
+            *[bits.alias(f"done{w}") for w, bits in enumerate(marked)],
             *[value.alias(name) for name, value in also.items()],
         )
     )
     first_open = F.coalesce(
+        F.lit(None).cast("string"),
         *[
-            F.when(F.col("done").bitwiseAND(F.lit(1 << i)) == 0, F.lit(name))
+            F.when(
+                F.col(f"done{i // WORD}").bitwiseAND(F.lit(1 << i % WORD)) == 0, F.lit(name)
+            )
             for i, name in enumerate(stages)
         ],
     )
+    successful = sum((F.bit_count(f"done{w}") for w in words), F.lit(0))
     return done.select(
         "run_id",
-        F.bit_count("done").cast("long").alias("successful_stages"),
+        successful.cast("long").alias("successful_stages"),
         first_open.alias("failed_stage"),
         *also,
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -22,7 +23,7 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError(f"set {SETTING} to a folder shared by all executors")
     app = spark.sparkContext.applicationId
     if app not in _local_roots:

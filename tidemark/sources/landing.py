@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tidemark.sources.paths import children
+from tidemark.sources.paths import children, exists, is_folder
 
 CORRUPT = "_corrupt_record"
 
@@ -30,12 +30,14 @@ def land(records: DataFrame, root: str, entity: str, at: datetime) -> str:
 
 
 def snapshots(spark: SparkSession, root: str, entity: str) -> list[str]:
+    """Complete snapshots, oldest first: a folder counts once its writer has finished."""
     names = children(spark, root)
-    return [f"{root}/{n}" for n in names if n.startswith(f"{entity}_") and n.endswith(".json")]
+    paths = [f"{root}/{n}" for n in names if n.startswith(f"{entity}_") and n.endswith(".json")]
+    return [p for p in paths if not is_folder(spark, p) or exists(spark, f"{p}/_SUCCESS")]
 
 
 def latest_snapshot(spark: SparkSession, root: str, entity: str) -> str:
-    """The snapshot with the greatest name.  Names are listed, contents are not read."""
+    """The complete snapshot with the greatest name.  Contents are not read."""
     found = snapshots(spark, root, entity)
     if not found:
         raise FileNotFoundError(f"no {entity} snapshot in {root}")

@@ -24,6 +24,17 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in system.listStatus(target))
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    target, system = _handle(spark, path)
+    return system.exists(target) and system.getFileStatus(target).isDirectory()
+
+
+def make_marker(spark: SparkSession, path: str) -> None:
+    """Create an empty file; one that is there already is left as it is."""
+    target, system = _handle(spark, path)
+    system.createNewFile(target)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     target, system = _handle(spark, path)
     system.delete(target, True)

@@ -10,9 +10,10 @@ from pyspark.sql.types import StructType
 
 from tidemark.operators.merge import new_rows
 from tidemark.plans.scratch import materialized
-from tidemark.sources.paths import children, delete, exists
+from tidemark.sources.paths import children, delete, exists, make_marker
 
 VERSION = "version="
+RESERVED = "_reserved="
 
 
 def append_new_rows(
@@ -64,6 +65,29 @@ def versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(found)
 
 
+def reserve_version(spark: SparkSession, root: str, owner: str) -> int:
+    """The version that belongs to ``owner``: the one it reserved before, or the next free one.
+
+    A reservation is an empty file beside the versions, which readers do not look at.
+    One writer at a time may reserve; later versions leave reserved ones alone.
+    """
+    reserved = _reservations(spark, root)
+    if owner in reserved:
+        return reserved[owner]
+    version = _next_version(spark, root)
+    make_marker(spark, f"{root}/{RESERVED}{version:010d}={owner}")
+    return version
+
+
+def _reservations(spark: SparkSession, root: str) -> dict[str, int]:
+    names = [n.removeprefix(RESERVED) for n in children(spark, root) if n.startswith(RESERVED)]
+    return {owner: int(version) for version, _, owner in (n.partition("=") for n in names)}
+
+
+def _next_version(spark: SparkSession, root: str) -> int:
+    return max([0, *versions(spark, root), *_reservations(spark, root).values()]) + 1
+
+
 def version_path(root: str, version: int) -> str:
     return f"{root}/{VERSION}{version:010d}"
 
@@ -103,7 +127,7 @@ def publish_version(
     """
     spark = df.sparkSession
     if version is None:
-        version = max(versions(spark, root), default=0) + 1
+        version = _next_version(spark, root)
     path = version_path(root, version)
     rows = Observation()
     df.observe(rows, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)

@@ -19,7 +19,7 @@ from tidemark.operators.enrich import enrich_posts
 from tidemark.operators.merge import CHANGE, keep_first, sorted_by_key, upsert
 from tidemark.operators.sla import violations
 from tidemark.operators.stages import cleaned
-from tidemark.sources.tables import publish_version, read_current
+from tidemark.sources.tables import publish_version, read_current, reserve_version, versions
 
 
 def landed_stream(
@@ -60,14 +60,18 @@ def merge_stream(
 ) -> StreamingQuery:
     """Upsert every micro-batch into the versioned table at ``root``.
 
-    A batch that repeats a key contributes its first row by ``newest``.  Batch n
-    reads the newest version before n + 1 and writes version n + 1, so a replayed
-    batch starts from the same table and replaces its own output.
+    A batch that repeats a key contributes its first row by ``newest``.  A batch
+    reserves the next free version and builds on the newest one before it.  The
+    reservation names the stream (by the id that its checkpoint holds) and the batch, so
+    a replay starts from the same table and writes the same version, a new
+    checkpoint goes on from the table as it is, and what is complete is not redone.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        version = batch_id + 1
+        version = reserve_version(spark, root, f"{_stream_id(spark, checkpoint)}.{batch_id}")
+        if version in versions(spark, root):
+            return
         rows = keep_first(batch, key, newest)
         existing = read_current(spark, root, before=version)
         if existing is None:
@@ -83,6 +87,11 @@ def merge_stream(
     )
 
 
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps in its checkpoint for life."""
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
+
+
 def violation_stream(
     stage_runs: DataFrame, thresholds: Mapping[str, float] = schemas.STAGE_SLA
 ) -> DataFrame:
