@@ -26,8 +26,8 @@ def skewed(spark):
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_plain(spark, rows, skewed, how):
     users = spark.range(300).select(F.col("id").alias("user_id"), (F.col("id") * 2).alias("x"))
-    assert skew.hot_keys(skewed, "user_id", 0.1).count() == 1
-    salted = skew.salted_join(skewed, users, "user_id", how, share=0.1, salts=8)
+    assert [r._salts for r in skew.hot_keys(skewed, "user_id", 300).collect()] == [4]
+    salted = skew.salted_join(skewed, users, "user_id", how, rows_per_task=300)
     plain = skewed.join(users, "user_id", how)
     assert rows(salted, *plain.columns) == rows(plain)
 
@@ -41,7 +41,7 @@ def test_salted_join_needs_a_supported_kind(spark, skewed):
 
 def test_hot_rows_are_spread(spark, skewed):
     users = spark.range(300).select(F.col("id").alias("user_id"))
-    joined = skew.salted_join(skewed, users, "user_id", share=0.1, salts=64)
+    joined = skew.salted_join(skewed, users, "user_id", rows_per_task=30)
     spread = (joined.filter("user_id = 7").groupBy(F.spark_partition_id()).count())
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -52,6 +52,14 @@ def test_hot_rows_are_spread(spark, skewed):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_compressible_rows_are_measured_before_a_broadcast(spark, tmp_path):
+    path = str(tmp_path / "text")
+    spark.range(60).select("id", F.repeat(F.lit("abc "), 300_000).alias("body")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    assert sizing.is_small(rows, 32 * 2**20) and not sizing.fits(rows, 32 * 2**20)
+    assert sizing.fits(rows.select("id"), 32 * 2**20)
+
+
 def test_sizes(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     assert 0 < sizing.estimated_bytes(events) < 1_000_000

@@ -304,7 +304,7 @@ def _(spark, sf_dir):
         F.col("doc_id").alias("post_id"), F.col("lang").alias("user_id")
     )
     users = posts.groupBy("user_id").agg(F.count("*").alias("total"))
-    return salted_join(posts, users, "user_id", spread_by=["post_id"]).select(
+    return salted_join(posts, users, "user_id", rows_per_task=50, spread_by=["post_id"]).select(
         "post_id", "user_id", "total"
     )
 

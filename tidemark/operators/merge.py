@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.enrich import backfill_lineage
-from tidemark.plans.sizing import is_small
+from tidemark.plans.sizing import fits, is_small
 
 LOOKUP_BYTES = 32 * 1024 * 1024
 CHANGE = "change"
@@ -38,7 +38,7 @@ def new_rows(
     """
     first = keep_first(incoming, key, order_by)
     known = existing.select(key)
-    if is_small(incoming, LOOKUP_BYTES):
+    if fits(incoming.select(key), LOOKUP_BYTES):
         known = known.join(F.broadcast(first.select(key)), key, "left_semi")
     return first.join(known, key, "left_anti").select(*incoming.columns)
 
@@ -140,7 +140,7 @@ def _pair_full_outer(existing: DataFrame, incoming: DataFrame, key: str) -> Data
 
 def _pair_lookup(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """The same pairs without moving the existing rows when incoming is small."""
-    hinted = F.broadcast if is_small(incoming, LOOKUP_BYTES) else (lambda df: df)
+    hinted = F.broadcast if fits(incoming, LOOKUP_BYTES) else (lambda df: df)
     matched = _wrapped(existing, key, "_e").join(
         hinted(_wrapped(incoming, key, "_i")), key, "left"
     )

@@ -17,9 +17,18 @@ from pyspark.sql import functions as F
 from tidemark.plans.scratch import materialized
 from tidemark.plans.sizing import MAX_DIMENSION_ROWS
 
+#: An interval of one value, or of no more rows than this, is not narrowed further.
+FEW_ROWS = 10_000
+
+
 def _magnitude(value: Column) -> Column:
     """Signed logarithmic scale: spreads a body of values apart from far outliers."""
-    return F.signum(value) * F.log1p(F.abs(value) * F.lit(1e6))
+    return F.signum(value) * F.log1p(F.least(F.abs(value), F.lit(1e300)) * F.lit(1e6))
+
+
+def _linear(value: Column) -> Column:
+    """The value itself, scaled so that infinities and differences stay finite."""
+    return F.least(F.greatest(value, F.lit(-1.7e308)), F.lit(1.7e308)) / F.lit(4.0)
 
 
 def _bucket(value: Column, low: Column, high: Column, buckets: int) -> Column:
@@ -56,9 +65,9 @@ def selected_percentiles(
 ) -> DataFrame:
     """``(group, percentiles)`` by linear interpolation, null groups and values left out.
 
-    The first round buckets on a logarithmic scale, later ones linearly.  The few
-    distinct values left in an interval are then counted and ranked one by one,
-    so the result is exact for any distribution.  The intervals of each round are
+    The first round buckets on a logarithmic scale, later ones linearly: ``rounds`` of
+    them, and more until every interval holds one value or few rows.  Those are then counted and ranked value by
+    value, so the result is exact for any distribution, infinities included.  The intervals of each round are
     a small table in the scratch folder; the number of groups decides whether it
     may be broadcast.  ``spans`` saves a scan for a caller that already has
     ``(group, n, low, high)`` in a written table.
@@ -106,8 +115,8 @@ def selected_percentiles(
         lookup = F.broadcast(lookup) if bounded else lookup
         return rows.join(lookup, "g").filter(F.col("v").between(F.col("low"), F.col("high")))
 
-    for turn in range(rounds):
-        scale = _magnitude if turn == 0 else (lambda c: c)
+    scale, left, turn = _magnitude, None, 0
+    while True:
         edges = [scale(F.col(c)) for c in ("v", "low", "high")]
         histogram = (
             inside(intervals)
@@ -121,8 +130,17 @@ def selected_percentiles(
             F.col("hi").alias("high"),
             F.col("start").alias("below"),
             "targets",
+            "c",
         )
         intervals = materialized(steps, "intervals")
+        scale, turn = _linear, turn + 1
+        if turn < rounds:
+            continue
+        wide = intervals.filter((F.col("low") < F.col("high")) & (F.col("c") > FEW_ROWS))
+        left, before = wide.agg(F.sum("c")).first()[0], left
+        # Values at the very ends of the range may not come apart on either scale.
+        if left is None or left == before:
+            break
     counted = inside(intervals).groupBy("id", "v").agg(F.count("*").alias("c"))
     ranked = _narrowed(counted, intervals, "v").select("g", "v", F.explode("targets").alias("t"))
     # The values at the ranks either side of each percentile's position.

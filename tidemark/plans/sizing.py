@@ -34,6 +34,18 @@ def is_small(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> bool:
     return size is not None and size <= limit
 
 
+def fits(df: DataFrame, limit: int) -> bool:
+    """Whether all values of ``df`` together take at most ``limit`` bytes.
+
+    A scan is estimated by its compressed files, so what passes the estimate is measured,
+    in one pass over an input whose files are small.
+    """
+    if not df.columns or not is_small(df, limit):
+        return False
+    size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))).cast("long"))
+    return (df.agg(size).first()[0] or 0) <= limit
+
+
 def dimension(spark: SparkSession, columns: Mapping[str, Sequence]) -> DataFrame:
     """A driver-supplied lookup table, with a broadcast hint up to ``MAX_DIMENSION_ROWS``.
 
