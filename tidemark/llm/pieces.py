@@ -23,7 +23,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 24_000_000
 _MARK = "▁"
 _CHUNK = re.compile(r" +[^ ]*")
 
@@ -63,13 +63,22 @@ def segmented(keys: list[str], model: str) -> list[list[int]]:
 
 
 def _pack(keys: list[str]) -> bytes:
-    return zlib.compress(_MARK.join(keys).encode("utf-8", "surrogatepass"), 1)
+    return zlib.compress(_MARK.join(keys).encode("utf-8", "surrogatepass"))
 
 
 def _unpack(packed: bytes) -> list[str]:
     return zlib.decompress(packed).decode("utf-8", "surrogatepass").split(_MARK)
 
 
+def _by_bucket(found: set[str], buckets: int) -> dict[int, list[str]]:
+    """Chunks by hash bucket, each list in order, so that it need not travel back."""
+    parts: dict[int, list[str]] = {}
+    for key in sorted(found):
+        bucket = zlib.crc32(key.encode("utf-8", "surrogatepass")) % buckets
+        parts.setdefault(bucket, []).append(key)
+    return parts
+
+
 def _requests(batches: Iterator[pd.DataFrame], buckets: int) -> Iterator[pd.DataFrame]:
     """``(block, bucket, chunks)``: a block's distinct chunks, packed by bucket."""
     pending: dict[int, set[str]] = {}
@@ -77,17 +86,13 @@ def _requests(batches: Iterator[pd.DataFrame], buckets: int) -> Iterator[pd.Data
         for block, text in zip(batch["block"].to_numpy(), batch["text"]):
             pending.setdefault(int(block), set()).update(chunks(text))
     for block, found in pending.items():
-        parts: dict[int, list[str]] = {}
-        for key in found:
-            bucket = zlib.crc32(key.encode("utf-8", "surrogatepass")) % buckets
-            parts.setdefault(bucket, []).append(key)
-        rows = [(block, bucket, _pack(keys)) for bucket, keys in parts.items()]
+        rows = [(block, b, _pack(keys)) for b, keys in _by_bucket(found, buckets).items()]
         if rows:
             yield pd.DataFrame(rows, columns=["block", "bucket", "chunks"])
 
 
 def _answers(batches: Iterator[pd.DataFrame], model: str) -> Iterator[pd.DataFrame]:
-    """Requests in bucket order become ``(block, chunks, ids)``; a bucket's table is kept
+    """Requests in bucket order become ``(block, bucket, ids)``; a bucket's table is kept
     while its requests pass, so each of its chunks is segmented once."""
     table: dict[str, bytes] = {}
     current = None
@@ -102,32 +107,41 @@ def _answers(batches: Iterator[pd.DataFrame], model: str) -> Iterator[pd.DataFra
                 table[key] = np.array(ids, "<u4").tobytes()
             found = [table[k] for k in keys]
             sizes = np.array([len(f) // 4 for f in found], "<u4").tobytes()
-            out.append((block, packed, zlib.compress(sizes + b"".join(found), 1)))
-        yield pd.DataFrame(out, columns=["block", "chunks", "ids"])
+            # Byte planes: the high bytes are alike and pack to almost nothing.
+            planes = np.frombuffer(sizes + b"".join(found), np.uint8).reshape(-1, 4).T.tobytes()
+            out.append((block, bucket, zlib.compress(planes)))
+        yield pd.DataFrame(out, columns=["block", "bucket", "ids"])
+
+
+def _ids_by_chunk(keys: list[str], packed: bytes) -> Iterator[tuple[str, np.ndarray]]:
+    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1)
+    flat = np.ascontiguousarray(planes.T).view("<u4").ravel()
+    start = len(keys)
+    for key, size in zip(keys, flat[:start].tolist()):
+        yield key, flat[start : start + size]
+        start += size
 
 
 def _joined(
-    docs: pd.DataFrame, answers: pd.DataFrame, model: str, text_column: bool
+    docs: pd.DataFrame, answers: pd.DataFrame, model: str, buckets: int, text_column: bool
 ) -> pd.DataFrame:
     """Ids of each document of a block, by the position of its chunks."""
+    found: set[str] = set()
+    for text in docs["text"]:
+        found.update(chunks(text))
+    asked = _by_bucket(found, buckets)
     packed: dict[str, bytes] = {}
     decimal: dict[str, str] = {}
-    for keys_, ids_ in zip(answers["chunks"], answers["ids"]):
-        keys = _unpack(keys_)
-        flat = np.frombuffer(zlib.decompress(ids_), "<u4")
-        ends = np.cumsum(flat[: len(keys)]) + len(keys)
-        start = len(keys)
-        for key, end in zip(keys, ends.tolist()):
-            ids = flat[start:end]
+    for bucket, answer in zip(answers["bucket"], answers["ids"]):
+        for key, ids in _ids_by_chunk(asked[bucket], answer):
             packed[key] = ids.tobytes()
             decimal[key] = ",".join(map(str, ids.tolist()))
-            start = end
     loaded = processor(model)
     out = []
     for text in docs["text"]:
-        found = chunks(text)
-        ids = np.frombuffer(b"".join(map(packed.__getitem__, found)), "<u4")
-        listed = ",".join(map(decimal.__getitem__, found))
+        parts = chunks(text)
+        ids = np.frombuffer(b"".join(map(packed.__getitem__, parts)), "<u4")
+        listed = ",".join(map(decimal.__getitem__, parts))
         decoded = loaded.decode(ids.tolist()) if len(ids) else ""
         raw = decoded.encode("utf-8", "surrogatepass")
         row = (len(ids), hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(raw).hexdigest())
@@ -160,7 +174,7 @@ def encoded(
     answers = (
         requests.repartition(blocks, "bucket")
         .sortWithinPartitions("bucket")
-        .mapInPandas(lambda batches: _answers(batches, model), "block int, chunks binary, ids binary")
+        .mapInPandas(lambda batches: _answers(batches, model), "block int, bucket int, ids binary")
     )
     schema = ", ".join(
         [
@@ -172,5 +186,5 @@ def encoded(
     return (
         dealt.groupBy("block")
         .cogroup(answers.groupBy("block"))
-        .applyInPandas(lambda left, right: _joined(left, right, model, decoded), schema)
+        .applyInPandas(lambda left, right: _joined(left, right, model, blocks, decoded), schema)
     )
