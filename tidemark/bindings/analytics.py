@@ -18,6 +18,7 @@ from tidemark.bindings.tables import (
     runs,
     stage_runs,
 )
+from tidemark.functions.numeric import exact_avg, exact_sum
 from tidemark.functions.text import utc_wall_clock
 from tidemark.operators import baseline, ledger, sla, stages
 from tidemark.operators import runs as run_stats
@@ -196,6 +197,29 @@ def _(spark, sf_dir):
     return stages.average_by_stage(stage_runs(spark, sf_dir))
 
 
+@query(
+    "g3_mean_of_extreme_values",
+    """WITH extreme AS (
+         SELECT CASE event_id % 4 WHEN 0 THEN 'huge' WHEN 1 THEN 'tiny' WHEN 2 THEN 'infinite'
+                  ELSE 'mixed' END AS stage_name,
+                CASE event_id % 4 WHEN 0 THEN pow(2.0, 70) WHEN 1 THEN pow(2.0, -40)
+                  WHEN 2 THEN 'Infinity'::DOUBLE
+                  ELSE CASE WHEN event_id % 8 = 3 THEN 0.5 ELSE pow(2.0, -35) END END AS v
+         FROM events)
+       SELECT stage_name, sum(v) AS total, sum(v) / count(v) AS mean FROM extreme GROUP BY 1""",
+)
+def _(spark, sf_dir):
+    kind = F.col("event_id") % 4
+    mixed = F.when(F.col("event_id") % 8 == 3, 0.5).otherwise(2.0**-35)
+    value = F.when(kind == 0, 2.0**70).when(kind == 1, 2.0**-40).when(kind == 2, float("inf"))
+    rows = stage_runs(spark, sf_dir).select(
+        F.when(kind == 0, "huge").when(kind == 1, "tiny").when(kind == 2, "infinite")
+        .otherwise("mixed").alias("stage_name"),
+        value.otherwise(mixed).alias("v"),
+    )
+    return rows.groupBy("stage_name").agg(exact_sum("v").alias("total"), exact_avg("v").alias("mean"))
+
+
 @query(
     "g9_stage_summary",
     f"""{WITH_STAGES} SELECT stage_name, count(duration) AS executions,

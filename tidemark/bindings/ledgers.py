@@ -192,6 +192,25 @@ def _(spark, sf_dir):
     return ledger.failed_stage(stage_runs(spark, sf_dir), STAGES, ~is_failure())
 
 
+@query(
+    "m13_failed_stage_of_many",
+    """WITH rows_ AS (SELECT user_id AS u, 'S' || lpad(CAST(event_id % 100 AS VARCHAR), 3, '0') AS s
+                       FROM events),
+       all_ AS (SELECT u, s FROM (SELECT DISTINCT u FROM rows_), (SELECT DISTINCT s FROM rows_)),
+       open_ AS (SELECT u, min(s) AS s FROM (SELECT * FROM all_ EXCEPT SELECT * FROM rows_) GROUP BY 1)
+       SELECT CAST(r.u AS VARCHAR) AS run_id, count(DISTINCT r.s) AS successful_stages,
+              any_value(o.s) AS failed_stage
+       FROM rows_ r LEFT JOIN open_ o ON r.u = o.u GROUP BY 1""",
+)
+def _(spark, sf_dir):
+    number = F.lpad((F.col("event_id") % 100).cast("string"), 3, "0")
+    rows = stage_runs(spark, sf_dir).select(
+        F.floor(F.col("run_id").cast("long") / 100).cast("string").alias("run_id"),
+        F.concat(F.lit("S"), number).alias("stage_name"),
+    )
+    return ledger.failed_stage(rows, [f"S{i:03d}" for i in range(100)])
+
+
 @query(
     "m14_last_state",
     f"""{WITH_RUNS}, last AS (SELECT * FROM runs
