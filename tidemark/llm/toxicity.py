@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 BITS = 18
 BEGINNING = 5
-POSITIVES = 4000
-UNLABELLED = 12000
+POSITIVES = 2500
+UNLABELLED = 5000
 STEPS = 250
 PENALTY = 3e-4
 FOLDS = 5
@@ -83,11 +83,12 @@ def fit(
     # A feature that hardly any positive has says nothing about toxicity.
     support = np.bincount(flat[: lengths[: len(positives)].sum()], minlength=_SIZE)
     used = np.flatnonzero(support >= max(3, len(positives) // 1000))
-    number = np.full(_SIZE, -1)
+    number = np.full(_SIZE, -1, np.int32)
     number[used] = np.arange(len(used))
-    owner = np.repeat(np.arange(len(rows)), lengths)
-    keep = number[flat] >= 0
-    feature, owner = number[flat[keep]], owner[keep]
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), lengths)
+    feature = number[flat]
+    owner, feature = owner[feature >= 0], feature[feature >= 0]
+    del flat
     p = np.arange(len(rows)) < len(positives)
     share = np.where(p, 1.0 / len(positives), 1.0 / len(unlabelled))
     w, bias = np.zeros(len(used)), float(np.log(prior / (1.0 - prior)))
@@ -153,10 +154,12 @@ def train(
     )
     schema = "positive boolean, unlabelled boolean, features array<int>"
     rows = picked.mapInPandas(_feature_batches, schema).toPandas()
-    arrays = [np.asarray(f, dtype=np.int64) for f in rows["features"]]
-    order_ = sorted(range(len(arrays)), key=lambda i: (len(arrays[i]), arrays[i].tobytes()))
-    chosen_p = [arrays[i] for i in order_ if rows["positive"][i]]
-    chosen_u = [arrays[i] for i in order_ if rows["unlabelled"][i]]
+    arrays = [np.asarray(f, dtype=np.int32) for f in rows["features"]]
+    flags = rows[["positive", "unlabelled"]].to_numpy()
+    del rows
+    places = sorted(range(len(arrays)), key=lambda i: (len(arrays[i]), arrays[i].tobytes()))
+    chosen_p = [arrays[i] for i in places if flags[i, 0]]
+    chosen_u = [arrays[i] for i in places if flags[i, 1]]
     return fit(chosen_p, chosen_u, float(prior or 0.0))
 
 
