@@ -108,7 +108,7 @@ def _address(url: Column) -> list[Column]:
     ]
 
 
-def _softmax(logs: Column, n: int) -> Column:
+def _softmax(logs: Column) -> Column:
     top = F.array_max(logs)
     raised = F.transform(logs, lambda x: F.exp(x - top))
     total = F.aggregate(raised, F.lit(0.0), lambda a, x: a + x)
@@ -162,7 +162,7 @@ def identify(pages: DataFrame, languages: list[str], table: np.ndarray) -> DataF
     read = text_evidence(pages.select("page_id", "url", "html"), table).select(
         "page_id", *_address(F.col("url")), _declared(F.col("html"), languages).alias("declared"), "evidence"
     )
-    read = read.select("*", _softmax(F.col("evidence"), n).alias("q"))
+    read = read.select("*", _softmax(F.col("evidence")).alias("q"))
     read = Written(read, "page-evidence").df
     by_declared = {r["declared"]: r["c"] for r in _sums(read, ["declared"], "q", n).collect()}
     total = np.array(list(by_declared.values()) or [[0.0] * n]).sum(axis=0)
@@ -188,7 +188,7 @@ def identify(pages: DataFrame, languages: list[str], table: np.ndarray) -> DataF
         F.zip_with(F.transform(prior, lambda x: F.log(x)), F.coalesce("suffix_log", nothing), lambda a, b: a + b),
         lambda a, b: a + b,
     )
-    posterior = joined.select("page_id", "host", "declared", "q", F.explode(F.array(_softmax(log, n))).alias("p"))
+    posterior = joined.select("page_id", "host", "declared", "q", F.explode(F.array(_softmax(log))).alias("p"))
     best = F.array_max("p")
     return posterior.select(
         "page_id",
@@ -202,6 +202,7 @@ def identify(pages: DataFrame, languages: list[str], table: np.ndarray) -> DataF
 
 def _host_priors(hosts: DataFrame, overall: np.ndarray, n: int) -> DataFrame:
     """``(host, n, c, parent, suffix_log)`` of each host."""
+
     def level(key: str, name: str) -> DataFrame:
         parts = [F.sum(F.col("c")[i]).alias(f"s{i}") for i in range(n)]
         summed = hosts.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum("n").alias(f"{name}_n"), *parts)
