@@ -33,6 +33,22 @@ def components(links: DataFrame) -> DataFrame:
     return current.df.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)
 
 
+def central_pairs(shared: DataFrame) -> DataFrame:
+    """``(a, b)``: each member of a bucket with the bucket's most central member.
+
+    ``shared`` has ``(id, bucket, n)`` of the buckets with ``n > 1`` members.  The most
+    central one meets the most others over all its buckets: of an original and its
+    variants it is the original, which is closer to each variant than they are to one
+    another.  Pairs are linear in the size of a bucket.
+    """
+    score = shared.groupBy("id").agg(F.sum("n").alias("score")).hint("rebalance")
+    scored = Written(shared.join(score, "id").select("id", "bucket", "score"), "scored").df
+    best = F.max(F.struct("score", (-F.col("id")).alias("back"))).alias("best")
+    heads = scored.groupBy("bucket").agg(best).select("bucket", (-F.col("best.back")).alias("a"))
+    pairs = scored.join(heads.hint("rebalance"), "bucket").where("id != a")
+    return pairs.select("bucket", "a", F.col("id").alias("b"))
+
+
 def _fingerprint(pairs: DataFrame) -> tuple:
     return tuple(pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tidemark.llm.graph import components
+from tidemark.llm.graph import central_pairs, components
 from tidemark.llm.storage import Written, content_keys
 
 WORDS = 5
@@ -211,17 +211,10 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.loc[keep, ["a", "b"]]
 
 
-def _star_pairs(buckets: DataFrame) -> DataFrame:
-    """Each member of a bucket with the bucket's smallest document: linear in its size."""
-    heads = (
-        buckets.groupBy("bucket")
-        .agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z"))
-        .where("a < z")
-        .select("bucket", "a")
-        .hint("rebalance")
-    )
-    pairs = buckets.join(heads, "bucket").where(F.col("doc_id") != F.col("a"))
-    return pairs.select("a", F.col("doc_id").alias("b"))
+def _shared(buckets: DataFrame) -> DataFrame:
+    """``(id, bucket, n)`` of the buckets with several documents."""
+    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    return Written(buckets.join(sizes.hint("rebalance"), "bucket"), "shared-sketches").df
 
 
 def near_duplicate_classes(docs: DataFrame, passes: int = 2) -> DataFrame:
@@ -229,9 +222,9 @@ def near_duplicate_classes(docs: DataFrame, passes: int = 2) -> DataFrame:
 
     A class is a connected component of exact copies and near duplicates.  Copies
     are found by hash and take part once.  Each pass pairs every member of a sketch
-    bucket with the bucket's smallest document and verifies the new pairs; the next
-    pass does the same with what differs from that document, so a bucket where
-    unrelated texts meet hides nothing, and pairs stay linear in the bucket's size.
+    bucket with the bucket's most central document and verifies the new pairs; the
+    next pass does the same with what differs from that document, so a bucket where
+    unrelated texts meet hides little, and pairs stay linear in the bucket's size.
 
     Null texts count as empty.  Documents without words are in one class only if
     their texts are equal.  A null doc_id is left out; a doc_id carried by several rows
@@ -250,21 +243,22 @@ def near_duplicate_classes(docs: DataFrame, passes: int = 2) -> DataFrame:
     buckets = (
         sketched.join(firsts, ["k1", "k2"])
         .where(F.col("doc_id") == F.col("head"))
-        .select("doc_id", F.explode("sketches").alias("bucket"))
+        .select(F.col("doc_id").alias("id"), F.explode("sketches").alias("bucket"))
         .distinct()
     )
     verified: DataFrame | None = None
     tried: DataFrame | None = None
-    remaining = buckets
     for _ in range(passes):
-        pairs = _star_pairs(remaining).distinct()
+        placed = Written(central_pairs(_shared(buckets)), "placed").df
+        pairs = placed.select("a", "b").distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         fresh = Written(pairs, "pairs").df
         links = Written(_verify(fresh, source), "verified").df
         verified = links if verified is None else verified.union(links)
         tried = fresh if tried is None else tried.union(fresh)
-        remaining = _unlinked(remaining, links)
+        unlinked = placed.join(verified, ["a", "b"], "left_anti")
+        buckets = unlinked.select(F.col("b").alias("id"), "bucket")
     linked = components(verified).withColumnRenamed("id", "head")
     classed = sketched.join(firsts, ["k1", "k2"]).join(linked, "head", "left")
     class_id = F.min(F.coalesce("component", "head")).alias("class_id")
@@ -272,15 +266,6 @@ def near_duplicate_classes(docs: DataFrame, passes: int = 2) -> DataFrame:
     return classed.groupBy("doc_id").agg(class_id).select("doc_id", "class_id", kept)
 
 
-def _unlinked(buckets: DataFrame, links: DataFrame) -> DataFrame:
-    """Bucket members that are neither the head nor linked with it."""
-    heads = buckets.groupBy("bucket").agg(F.min("doc_id").alias("a")).hint("rebalance")
-    members = buckets.join(heads, "bucket").where(F.col("doc_id") != F.col("a"))
-    members = members.select("bucket", "a", F.col("doc_id").alias("b"))
-    left = members.join(links, ["a", "b"], "left_anti")
-    return left.select(F.col("b").alias("doc_id"), "bucket")
-
-
 def _verify(pairs: DataFrame, source: DataFrame) -> DataFrame:
     """The pairs whose texts align; texts travel only for documents that have a pair."""
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
