@@ -23,7 +23,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_CHARS = 24_000_000
+BLOCK_CHARS = 30_000_000
 _MARK = "▁"
 _CHUNK = re.compile(r" +[^ ]*")
 
@@ -109,7 +109,7 @@ def _answers(batches: Iterator[pd.DataFrame], model: str) -> Iterator[pd.DataFra
             sizes = np.array([len(f) // 4 for f in found], "<u4").tobytes()
             # Byte planes: the high bytes are alike and pack to almost nothing.
             planes = np.frombuffer(sizes + b"".join(found), np.uint8).reshape(-1, 4).T.tobytes()
-            out.append((block, bucket, zlib.compress(planes)))
+            out.append((block, bucket, zlib.compress(planes, 9)))
         yield pd.DataFrame(out, columns=["block", "bucket", "ids"])
 
 
