@@ -267,10 +267,14 @@ def near_duplicate_classes(docs: DataFrame, passes: int = 2) -> DataFrame:
 
 
 def _verify(pairs: DataFrame, source: DataFrame) -> DataFrame:
-    """The pairs whose texts align; texts travel only for documents that have a pair."""
+    """The pairs whose texts align; of the texts only those of a pair are written.
+
+    The list of wanted documents grows with the input, so it is merged, never broadcast.
+    """
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = Written(source.join(wanted, "doc_id", "left_semi"), "candidates").df
+    texts = Written(source.join(wanted.hint("merge"), "doc_id", "left_semi"), "candidates").df
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right"))
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left"))
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right")
+    both = pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a")
+    both = both.select("a", "b", "left", "right")
     return both.mapInPandas(_verified, "a long, b long").distinct()
