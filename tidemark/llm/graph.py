@@ -49,6 +49,51 @@ def central_pairs(shared: DataFrame) -> DataFrame:
     return pairs.select("bucket", "a", F.col("id").alias("b"))
 
 
+#: Members of a bucket that meet in one group of a join.
+CHUNK = 512
+
+
+def apart_pairs(
+    placed: DataFrame, sketches: DataFrame, parts: DataFrame, words: int, similarity: float
+) -> DataFrame:
+    """``(a, b)``: all pairs of a bucket that are in different parts and may be similar.
+
+    ``placed`` has ``(id, bucket)``, ``parts`` the ``(id, component)`` of linked ids and
+    ``sketches`` ``(id, size, x0, x1, ..)``: the size of the id's set and, in ``words``
+    longs, the parity of its elements at each of their bits.  Two bitmaps differ in at most
+    as many bits as the sets have elements that are not common, so the bound never leaves out
+    a pair of the given Jaccard similarity.  Sizes apart by more than the similarity
+    allows do not meet, and members of large buckets meet in chunks, spread over tasks.
+    """
+    member = placed.select("id", "bucket").join(parts, "id", "left")
+    member = member.withColumn("component", F.coalesce("component", "id"))
+    mixed = member.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    mixed = mixed.where("low != high").select("bucket", "n").hint("rebalance")
+    member = member.join(mixed, "bucket").join(sketches.hint("rebalance"), "id")
+    level = F.floor(F.log(F.col("size").cast("double")) / -F.log(F.lit(similarity - 1e-9)))
+    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
+    member = member.withColumn("level", level).withColumn("chunks", chunks)
+    member = member.withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
+    member = Written(member, "apart").df
+    bits = [f"x{i}" for i in range(words)]
+    others = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    own = [F.col(c).alias(f"_{c}") for c in ("id", "component", "size", "level", *bits)]
+    left = member.select("bucket", F.col("level").alias("meet"), "chunk", others.alias("other"), *own)
+    right = member.select("*", F.explode(F.array("level", F.col("level") - 1)).alias("meet"))
+    right = right.select(
+        "bucket", "meet", F.col("chunk").alias("other"), others.alias("chunk"),
+        "id", "component", "size", "level", *bits,
+    )
+    differ = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(f"_{x}"))) for x in bits), F.lit(0))
+    most = (F.col("size") + F.col("_size")) * ((1 - similarity) / (1 + similarity)) + 1e-6
+    on = [left[c] == right[c] for c in ("bucket", "meet", "chunk", "other")]
+    once = (F.col("level") != F.col("_level")) | (F.col("_id") < F.col("id"))
+    met = left.join(right, [*on, once, F.col("component") != F.col("_component"), differ <= most])
+    return met.select(F.least("_id", "id").alias("a"), F.greatest("_id", "id").alias("b")).distinct()
+
+
 def _fingerprint(pairs: DataFrame) -> tuple:
     return tuple(pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
