@@ -51,3 +51,17 @@ def test_apart_pairs_equal_brute_force(spark, monkeypatch):
     }
     assert similar and similar <= set(pairs)
     assert len(pairs) == len(set(pairs)) and all(a < b and part.get(a, a) != part.get(b, b) for a, b in pairs)
+
+
+def test_lines_without_spaces(spark):
+    rng = random.Random(12)
+    letters = string.ascii_lowercase + string.digits
+    rows = []
+    for alphabet, start in ((letters, ""), (letters, "https://www."), ("กขคงจฉชซฌญฎฏฐฑฒณดตถทธนบปผฝพฟภมยรลวศษสหฬอฮ", "")):
+        for _ in range(8):
+            line = start + "".join(rng.choices(alphabet, k=rng.randint(42, 90)))
+            rows += [(len(rows), line), (len(rows) + 1, "#" + line[1:]), (len(rows) + 2, line[:30] + "#" + line[31:])]
+    words = prose(rng, 14)
+    blob = "".join(rng.choices(letters, k=400))
+    rows += [(900, " ".join([*words, blob])), (901, " ".join([*words[:13], "other", blob[:-4]]))]
+    assert kept_lines(spark, rows) == lines_brute_force(rows)
