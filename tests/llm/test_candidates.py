@@ -53,6 +53,15 @@ def test_apart_pairs_equal_brute_force(spark, monkeypatch):
     assert len(pairs) == len(set(pairs)) and all(a < b and part.get(a, a) != part.get(b, b) for a, b in pairs)
 
 
+def test_short_lines_with_edits_at_an_end(spark):
+    pairs = [("copyright 2020", "copyright 2021"), ("chapter 1", "chapter 12"), ("introduction", "introduction:"),
+             ("advertisement", "advertisements"), ("read more below", "read more below!"), ("all rights reserved", "all rights reserved.")]
+    rows = list(enumerate(line for pair in pairs for line in pair))
+    expected = lines_brute_force(rows)
+    assert sum(expected.values()) == len(pairs)
+    assert kept_lines(spark, rows) == expected
+
+
 def test_lines_without_spaces(spark):
     rng = random.Random(12)
     letters = string.ascii_lowercase + string.digits
