@@ -3,11 +3,12 @@
 import random
 import string
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from tidemark.llm import graph, line_dedup
+from tidemark.llm import graph, line_dedup, order_minhash
 
-from test_documents import frame, lines_brute_force, prose
+from test_documents import changed, frame, lines_brute_force, near_brute_force, prose
 
 
 def kept_lines(spark, rows):
@@ -74,3 +75,20 @@ def test_lines_without_spaces(spark):
     blob = "".join(rng.choices(letters, k=400))
     rows += [(900, " ".join([*words, blob])), (901, " ".join([*words[:13], "other", blob[:-4]]))]
     assert kept_lines(spark, rows) == lines_brute_force(rows)
+
+
+def test_all_documents_of_one_bucket_meet(spark, monkeypatch):
+    def one_bucket(batches):
+        for batch in whole(batches):
+            yield batch.assign(sketches=[np.array([1])] * len(batch))
+
+    whole = order_minhash._sketch_batches
+    monkeypatch.setattr(order_minhash, "_sketch_batches", one_bucket)
+    rng = random.Random(15)
+    rows = []
+    for _ in range(12):
+        base = prose(rng, rng.randint(80, 160))
+        rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(changed(rng, base, 1)))]
+    assert len(set(near_brute_force(rows).values())) < len(rows)
+    found = order_minhash.near_duplicate_classes(frame(spark, rows)).collect()
+    assert {r.doc_id: r.class_id for r in found} == near_brute_force(rows)

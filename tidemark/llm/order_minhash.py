@@ -16,13 +16,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tidemark.llm.graph import central_pairs, components
+from tidemark.llm.graph import apart_pairs, central_pairs, components
 from tidemark.llm.storage import Written, content_keys
 
 WORDS = 5
 SIMILARITY = 0.8
 SKETCHES = 20
 DEPTH = 3
+#: Longs of a bitmap; a power of two.
+BITMAP = 8
 _WORD_CACHE = 200_000
 _CELLS = 1_000_000
 _ODD = np.random.default_rng(20260812).integers(1, 2**63, (SKETCHES + 2, 2), dtype=np.uint64) | np.uint64(1)
@@ -79,11 +81,26 @@ def _labelled(shingles: np.ndarray) -> np.ndarray:
 
 def order_sketches(text: str | None) -> np.ndarray:
     """``SKETCHES`` hashes, each of the ``DEPTH`` smallest labelled shingles in text order."""
+    return _sketches(_labelled_shingles(text))
+
+
+def _labelled_shingles(text: str | None) -> np.ndarray:
     shingles = shingle_hashes(text)
-    if not len(shingles):
+    with np.errstate(over="ignore"):
+        return _labelled(shingles) if len(shingles) else shingles
+
+
+def bitmap(labelled: np.ndarray) -> np.ndarray:
+    """Parity of the labelled shingles at each of ``64 * BITMAP`` bits, as longs."""
+    places = (labelled & np.uint64(64 * BITMAP - 1)).astype(np.int64)
+    odd = np.bincount(places, minlength=64 * BITMAP) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _sketches(labelled: np.ndarray) -> np.ndarray:
+    if not len(labelled):
         return np.empty(0, np.int64)
     with np.errstate(over="ignore"):
-        labelled = _labelled(shingles)
         depth = min(DEPTH, len(labelled))
         at_once = max(1, _CELLS // len(labelled))
         picked = np.concatenate(
@@ -111,10 +128,12 @@ def _smallest_in_order(labelled: np.ndarray, rows: slice, depth: int) -> np.ndar
 
 def _sketch_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        sketches = [order_sketches(t) for t in batch["text"]]
-        yield pd.DataFrame(
-            {"doc_id": batch["doc_id"], "k1": batch["k1"], "k2": batch["k2"], "sketches": sketches}
-        )
+        labelled = [_labelled_shingles(t) for t in batch["text"]]
+        bits = np.array([bitmap(found) for found in labelled], np.int64).reshape(-1, BITMAP)
+        columns = {"doc_id": batch["doc_id"], "k1": batch["k1"], "k2": batch["k2"]}
+        columns |= {"sketches": [_sketches(found) for found in labelled]}
+        columns |= {"size": [len(found) for found in labelled]}
+        yield pd.DataFrame(columns | {f"x{i}": bits[:, i] for i in range(BITMAP)})
 
 
 def matched_in_order(a: np.ndarray, b: np.ndarray, needed: int) -> bool:
@@ -223,8 +242,9 @@ def near_duplicate_classes(docs: DataFrame, passes: int = 2) -> DataFrame:
     A class is a connected component of exact copies and near duplicates.  Copies
     are found by hash and take part once.  Each pass pairs every member of a sketch
     bucket with the bucket's most central document and verifies the new pairs; the
-    next pass does the same with what differs from that document, so a bucket where
-    unrelated texts meet hides little, and pairs stay linear in the bucket's size.
+    next pass does the same with what differs from that document, which links most of a
+    family with few pairs.  At last all pairs of a bucket that are in different
+    components yet are verified, but for those that a bound shows to be unlike.
 
     Null texts count as empty.  Documents without words are in one class only if
     their texts are equal.  A null doc_id is left out; a doc_id carried by several rows
@@ -236,20 +256,20 @@ def near_duplicate_classes(docs: DataFrame, passes: int = 2) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")
     )
     keyed = source.select("doc_id", "text", *content_keys(F.col("text")))
-    schema = "doc_id long, k1 long, k2 long, sketches array<long>"
+    bits = [f"x{i}" for i in range(BITMAP)]
+    schema = "doc_id long, k1 long, k2 long, sketches array<long>, size long, "
+    schema += ", ".join(f"{x} long" for x in bits)
     sketched = Written(keyed.mapInPandas(_sketch_batches, schema), "sketches").df
     copies = sketched.groupBy("k1", "k2").agg(F.min("doc_id").alias("head"))
     firsts = Written(copies, "copies").df
-    buckets = (
-        sketched.join(firsts, ["k1", "k2"])
-        .where(F.col("doc_id") == F.col("head"))
-        .select(F.col("doc_id").alias("id"), F.explode("sketches").alias("bucket"))
-        .distinct()
-    )
+    heads = sketched.join(firsts, ["k1", "k2"]).where(F.col("doc_id") == F.col("head"))
+    buckets = heads.select(F.col("doc_id").alias("id"), F.explode("sketches").alias("bucket"))
+    everyone = _shared(buckets.distinct())
     verified: DataFrame | None = None
     tried: DataFrame | None = None
     for _ in range(passes):
-        placed = Written(central_pairs(_shared(buckets)), "placed").df
+        shared = everyone if verified is None else _shared(buckets)
+        placed = Written(central_pairs(shared), "placed").df
         pairs = placed.select("a", "b").distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -259,7 +279,13 @@ def near_duplicate_classes(docs: DataFrame, passes: int = 2) -> DataFrame:
         tried = fresh if tried is None else tried.union(fresh)
         unlinked = placed.join(verified, ["a", "b"], "left_anti")
         buckets = unlinked.select(F.col("b").alias("id"), "bucket")
-    linked = components(verified).withColumnRenamed("id", "head")
+    parts = Written(components(verified), "parts").df
+    sets = heads.select(F.col("doc_id").alias("id"), "size", *bits).distinct()
+    apart = apart_pairs(everyone.where("n > 2"), sets, parts, BITMAP, SIMILARITY)
+    apart = Written(apart.join(tried, ["a", "b"], "left_anti"), "apart-pairs").df
+    links = Written(_verify(apart, source), "verified").df
+    links = links.union(parts.select(F.col("component").alias("a"), F.col("id").alias("b")))
+    linked = components(links).withColumnRenamed("id", "head")
     classed = sketched.join(firsts, ["k1", "k2"]).join(linked, "head", "left")
     class_id = F.min(F.coalesce("component", "head")).alias("class_id")
     kept = (F.col("class_id") == F.col("doc_id")).alias("kept")
