@@ -6,9 +6,9 @@ import string
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidemark.llm import graph, line_dedup, order_minhash
+from tidemark.llm import decontaminate, graph, line_dedup, order_minhash
 
-from test_documents import changed, frame, lines_brute_force, near_brute_force, prose
+from test_documents import changed, frame, leaks_brute_force, lines_brute_force, near_brute_force, prose
 
 
 def kept_lines(spark, rows):
@@ -92,3 +92,21 @@ def test_all_documents_of_one_bucket_meet(spark, monkeypatch):
     assert len(set(near_brute_force(rows).values())) < len(rows)
     found = order_minhash.near_duplicate_classes(frame(spark, rows)).collect()
     assert {r.doc_id: r.class_id for r in found} == near_brute_force(rows)
+
+
+def test_leaks_with_insertions_and_cut_ends(spark):
+    rng = random.Random(16)
+    items = [(i, " ".join(prose(rng, 104))) for i in range(6)]
+    docs = []
+    for item_id, text in items:
+        words = text.split()
+        cut, new = 2 + item_id % 2, 5 + item_id % 3
+        words = words[cut:52] + prose(rng, new) + words[52:-cut]
+        docs.append((len(docs), " ".join(prose(rng, 30) + words + prose(rng, 30))))
+        docs.append((len(docs), " ".join(words)))
+    expected = leaks_brute_force(docs, items)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contaminated(frame(spark, docs), benchmark).collect()
+    got = {(r.doc_id, r.item_id): r.similarity for r in found}
+    assert len(expected) >= len(items) and expected.keys() <= got.keys()
+    assert all(got[k] >= expected[k] - 1e-9 for k in expected)

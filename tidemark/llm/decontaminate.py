@@ -4,8 +4,9 @@ Texts are words in lower case (runs of letters and digits); a shingle is five wo
 row.  Documents are searched for windows as long as a benchmark item whose bag of
 shingles is similar to the item's: ``sum(min(counts)) / sum(max(counts)) >= 0.8``.
 
-Such a window holds at least one shingle of the item, so only windows that put a shared
-shingle at its place in the item are fingerprinted.  Fingerprints are 64-bit SimHashes
+Such a window holds shingles of the item, and a best one begins at a shared shingle or is the
+document's last, so only those, windows that end at a shared shingle and windows that put
+one at its place in the item are fingerprinted.  Fingerprints are 64-bit SimHashes
 of the counted shingles.  They are split into blocks; a window and an item within
 ``RADIUS`` differ in at most ``NEAR`` bits of some block, and an index with every block
 value within ``NEAR`` bits of an item's finds them all.  Candidates are then verified.
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.columns import once
-from tidemark.llm.storage import Written
+from tidemark.llm.storage import Written, content_keys
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -112,16 +113,42 @@ def _entry(block: int):
     )
 
 
-def _windows(hashed: DataFrame, items: DataFrame) -> DataFrame:
-    """Windows as long as an item around the shingles that they share with it."""
+def _spots(hashed: DataFrame, items: DataFrame) -> DataFrame:
+    """``(doc_id, k1, k2, size, start)`` of the windows of a document that may match an item.
+
+    A window that starts at a shared shingle, or is the document's last, holds most shared
+    ones: moving a window past a shingle that is not shared loses none.  One that ends at a
+    shared shingle is the earliest of equal ones.  Too few shared shingles cannot match.
+    """
     anchors = items.select(
-        F.size("hashes").alias("size"), F.posexplode("hashes").alias("place", "hash")
-    ).distinct()
-    placed = hashed.select("doc_id", "hashes", F.posexplode("hashes").alias("at", "hash"))
+        "item_id", F.size("hashes").alias("size"), F.posexplode("hashes").alias("place", "hash")
+    )
+    placed = hashed.select(
+        "doc_id", "k1", "k2", F.size("hashes").alias("length"), F.posexplode("hashes").alias("at", "hash")
+    )
     met = placed.join(F.broadcast(anchors), "hash")
-    start = F.greatest(F.col("at") - F.col("place"), F.lit(0))
-    cut = F.slice("hashes", start + 1, F.col("size"))
-    return met.select("doc_id", start.alias("start"), "size", cut.alias("hashes")).distinct()
+    own = F.greatest(F.col("at") - F.col("place"), F.lit(0))
+    met = met.groupBy("doc_id", "k1", "k2", "length", "item_id", "size").agg(
+        F.sort_array(F.collect_set("at")).alias("ats"), F.collect_set(own).alias("own")
+    )
+    size, ats = F.col("size"), F.col("ats")
+    needed = F.ceil(size * SIMILARITY - 1e-9).cast("int")
+    last = F.greatest(F.col("length") - size, F.lit(0))
+    begins = F.filter(ats, lambda at, i: (F.get(ats, i + needed - 1) < at + size) & (at <= last))
+    ends = F.filter(ats, lambda at, i: F.get(ats, i - needed + 1) > at - size)
+    ends = F.transform(ends, lambda at: F.greatest(at - size + 1, F.lit(0)))
+    starts = F.array_distinct(F.concat("own", begins, ends, F.array(last)))
+    enough = met.where(F.size("ats") >= needed)
+    return enough.select("doc_id", "k1", "k2", "size", F.explode(starts).alias("start")).distinct()
+
+
+def _windows(hashed: DataFrame, items: DataFrame) -> DataFrame:
+    """Windows as long as an item around the shingles that they share with it."""
+    keyed = hashed.select("doc_id", "hashes", *content_keys(F.col("hashes")))
+    spots = Written(_spots(keyed, items), "spots").df
+    cut = F.slice("hashes", F.col("start") + 1, F.col("size"))
+    met = keyed.join(spots, ["doc_id", "k1", "k2"])
+    return met.select("doc_id", "start", "size", cut.alias("hashes")).distinct()
 
 
 def _shared(a: Column, b: Column) -> Column:
