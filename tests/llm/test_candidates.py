@@ -110,3 +110,12 @@ def test_leaks_with_insertions_and_cut_ends(spark):
     got = {(r.doc_id, r.item_id): r.similarity for r in found}
     assert len(expected) >= len(items) and expected.keys() <= got.keys()
     assert all(got[k] >= expected[k] - 1e-9 for k in expected)
+
+
+def test_bucket_sizes_are_counted_without_a_window(spark):
+    rows = [(i, f"https://www.example.org/the/same/long/path/{i}") for i in range(5)]
+    shared = line_dedup.shared_bands(line_dedup.document_lines(frame(spark, rows)))
+    sizes = {r.bucket: r.n for r in shared.collect()}
+    assert sizes and all(shared.where(F.col("bucket") == b).count() == n for b, n in list(sizes.items())[:2])
+    with open(line_dedup.__file__) as file:
+        assert "Window" not in file.read()
