@@ -19,6 +19,7 @@ from tidemark.llm import (
     records,
     token_counts,
     toxicity,
+    whitening,
 )
 from tidemark.llm.storage import Written
 
@@ -121,3 +122,9 @@ def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     languages, table = language.train(_table(spark, sf_dir, "documents"))
     return language.identify(_table(spark, sf_dir, "pages"), languages, table)
+
+
+@_query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
