@@ -16,6 +16,7 @@ from tidemark.llm import (
     near_vectors,
     order_minhash,
     pieces,
+    prefix_trie,
     records,
     token_counts,
     toxicity,
@@ -128,3 +129,54 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = whitening.whiten(_table(spark, sf_dir, "embeddings"))
     return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@_query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
+# The unsigned CRC-32 of a decimal number, byte by byte and bit by bit.
+_CRC32 = """xor(list_reduce(
+      list_prepend(CAST(4294967295 AS BIGINT),
+        list_transform(string_split(CAST({c} AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+      lambda s, b: list_reduce(list_prepend(xor(s, b), CAST(range(8) AS BIGINT[])),
+        lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v >> 1, CAST(3988292384 AS BIGINT)) ELSE v >> 1 END)),
+    CAST(4294967295 AS BIGINT))"""
+
+ORACLES["op12_prefix_trie"] = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST,
+    left(sha256(strlen(role) || ':' || role || text), 32)) AS turns
+  FROM t GROUP BY conv_id),
+headed AS (SELECT *, {_CRC32.format(c="conv_id")} % 4 AS h FROM own),
+rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(b.turns[1:a.h], []), a.turns[a.h + 1:]) AS turns
+  FROM headed a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 20),
+steps AS (
+  SELECT conv_id, turns, d AS depth, turns[1:d] AS path
+  FROM rebuilt, unnest(range(len(turns) + 1)) AS u(d)),
+nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+      FILTER (WHERE len(turns) = depth), '') AS ends
+  FROM steps GROUP BY path, depth),
+children AS (
+  SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+counted AS (
+  SELECT n.*, coalesce(c.n, 0) AS n_children,
+    CASE WHEN n.depth = 0 THEN 0
+      ELSE len(regexp_extract_all(n.path[n.depth].text, '[^ \\t\\n\\x0B\\f\\r]+')) END AS words
+  FROM nodes n LEFT JOIN children c ON c.path = n.path),
+below AS (
+  SELECT path[1:d] AS path, count(*) FILTER (WHERE n_children = 0) AS n_leaves,
+    sum((n_convs - 1) * words) AS saved
+  FROM counted, unnest(range(depth + 1)) AS u(d) GROUP BY 1)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children,
+  b.n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, sha256(c.ends) AS ends_sha256
+FROM counted c JOIN below b ON b.path = c.path
+LEFT JOIN nodes p ON c.depth > 0 AND p.depth = c.depth - 1 AND p.path = c.path[1:c.depth - 1]
+"""
