@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    class_lm,
     decontaminate,
     language,
     licences,
@@ -131,6 +132,12 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
+@_query
+def op11_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return class_lm.score_documents(docs, class_lm.train(docs))
+
+
 @_query
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
