@@ -19,6 +19,7 @@ from tidemark.operators import merge
 from tidemark.operators.enrich import backfill_lineage
 from tidemark.plans.scratch import materialized, scratch_dir
 from tidemark.sources import tables
+from tidemark.sources.keyed import KeyedTable
 
 
 def _orders(spark, sf_dir):
@@ -244,13 +245,45 @@ def _(spark, sf_dir):
     f"WITH {PAIR} SELECT * EXCLUDE (change) FROM ({_merge_sql('o', 'r', ALL_SAME)})",
 )
 def _(spark, sf_dir):
-    """The table is merged, published, and read again from its newest version."""
-    root = scratch_dir(spark, "f6")
-    tables.publish_version(_orders(spark, sf_dir), root)
-    batch = materialized(_recomputed(spark, sf_dir), "f6")
-    merged = merge.upsert(tables.read_current(spark, root), batch, "post_id")
-    tables.publish_version(merge.sorted_by_key(merged.drop("change"), "post_id"), root)
-    return _shown(tables.read_current(spark, root))
+    """The table is merged in place of its files, and read again from its newest version."""
+    target = KeyedTable(spark, scratch_dir(spark, "f6"), "post_id")
+    target.merge(_orders(spark, sf_dir), lineage=False)
+    target.merge(materialized(_recomputed(spark, sf_dir), "f6"))
+    return _shown(target.read())
+
+
+@query(
+    "f6_untouched_files",
+    """WITH touched AS (SELECT max(c_custkey) AS k FROM customer),
+spread AS (SELECT o_orderkey > (SELECT k FROM touched) AS beyond FROM orders)
+SELECT CAST(count(*) AS BIGINT) AS rows,
+       CAST(count(*) FILTER (WHERE NOT beyond) AS BIGINT) AS rows_of_customers,
+       true AS one_file_or_more_stays, true AS names_stay, CAST(0 AS BIGINT) AS out_of_range
+FROM spread""",
+)
+def _(spark, sf_dir):
+    """Orders with customers' keys get new titles; files of higher keys only stay as they are."""
+    target = KeyedTable(spark, scratch_dir(spark, "f6"), "post_id", rows_per_file=1000)
+    orders = _orders(spark, sf_dir)
+    first = target.merge(orders, lineage=False)
+    last = table(spark, sf_dir, "customer").agg(F.max("c_custkey")).first()[0]
+    batch = orders.where(F.col("post_id") <= last).withColumn("title", F.lit("X"))
+    second = target.merge(batch, lineage=False)
+    before, after = target.parts(first.version), target.parts(second.version)
+    beyond = {p.file for p in before if p.low > last}
+    kept = {p.file for p in before} & {p.file for p in after}
+    files = target.read().select("title", "post_id", F.col("_metadata.file_name").alias("file"))
+    names = {p.file.rsplit("/", 1)[1]: (p.low, p.high) for p in after}
+    # One row for each file of the table.
+    ranges = spark.createDataFrame([(n, *r) for n, r in names.items()], "file string, low long, high long")
+    outside = ~F.col("post_id").between(F.col("low"), F.col("high"))
+    return files.join(ranges, "file").agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.col("title") == "X").alias("rows_of_customers"),
+        F.lit(len(kept) > 0).alias("one_file_or_more_stays"),
+        F.lit(beyond <= kept).alias("names_stay"),
+        F.count_if(outside).alias("out_of_range"),
+    )
 
 
 @query(

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
@@ -20,9 +20,9 @@ from tidemark.operators import alerts as alerting
 from tidemark.operators import checks
 from tidemark.operators.enrich import enrich_posts, prune_users
 from tidemark.operators.ledger import run_records
-from tidemark.operators.merge import CHANGE, sorted_by_key, upsert
 from tidemark.operators.reports import post_user_mart
 from tidemark.sources import history, landing, tables
+from tidemark.sources.keyed import KeyedTable
 
 
 @dataclass(frozen=True)
@@ -106,25 +106,12 @@ def check_staged(posts: DataFrame) -> DataFrame:
 
 
 def merge_posts(spark: SparkSession, staged: DataFrame, root: str) -> dict[str, int]:
-    """Publish a new version of the curated posts; returns the change counts.
+    """Merge into the files of the curated posts that the batch touches; the change counts.
 
-    Earlier versions were merged the same way, so their keys need no second look.
-
-    The counts are observed after the last shuffle of the write itself, where each
-    task reports once even if it is retried.
+    They are observed after the last shuffle of the write itself, where each task reports
+    once even if it is retried.
     """
-    existing = tables.read_current(spark, root)
-    if existing is None:
-        existing = spark.createDataFrame([], staged.schema)
-    merged = upsert(existing, staged, "post_id", validate="incoming")
-    merged = sorted_by_key(merged, "post_id")
-    seen = Observation()
-    kinds = ("INSERTED", "UPDATED", "UNCHANGED", "KEPT")
-    counted = merged.observe(
-        seen, *[F.count_if(F.col(CHANGE) == kind).alias(kind.lower()) for kind in kinds]
-    )
-    tables.publish_version(counted.drop(CHANGE), root)
-    return dict(seen.get)
+    return KeyedTable(spark, root, "post_id").merge(staged).changes
 
 
 def run_batch(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -29,10 +30,24 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return system.exists(target) and system.getFileStatus(target).isDirectory()
 
 
-def make_marker(spark: SparkSession, path: str) -> None:
-    """Create an empty file; one that is there already is left as it is."""
-    target, system = _handle(spark, path)
-    system.createNewFile(target)
+def rename_to_new(spark: SparkSession, path: str, target: str) -> bool:
+    """Rename a folder that holds files; False, and nothing done, if the target is there.
+
+    Of two callers with the same target one gets False, on file systems with an atomic
+    rename: it never replaces a folder with files in it.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    source, aim = hadoop.Path(path), hadoop.Path(target)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    context = hadoop.FileContext.getFileContext(source.getFileSystem(conf).getUri(), conf)
+    options = spark._sc._gateway.new_array(hadoop.Options.Rename, 0)
+    try:
+        context.rename(source, aim, options)
+    except Py4JJavaError:
+        if exists(spark, target):
+            return False
+        raise
+    return True
 
 
 def delete(spark: SparkSession, path: str) -> None:

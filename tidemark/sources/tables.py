@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -10,10 +11,11 @@ from pyspark.sql.types import StructType
 
 from tidemark.operators.merge import new_rows
 from tidemark.plans.scratch import materialized
-from tidemark.sources.paths import children, delete, exists, make_marker
+from tidemark.sources.paths import children, delete, exists
 
 VERSION = "version="
-RESERVED = "_reserved="
+#: Column by which the file list of a keyed table is told from rows.
+KEYED = "_keyed_by"
 
 
 def append_new_rows(
@@ -65,29 +67,6 @@ def versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(found)
 
 
-def reserve_version(spark: SparkSession, root: str, owner: str) -> int:
-    """The version that belongs to ``owner``: the one it reserved before, or the next free one.
-
-    A reservation is an empty file beside the versions, which readers do not look at.
-    One writer at a time may reserve; later versions leave reserved ones alone.
-    """
-    reserved = _reservations(spark, root)
-    if owner in reserved:
-        return reserved[owner]
-    version = _next_version(spark, root)
-    make_marker(spark, f"{root}/{RESERVED}{version:010d}={owner}")
-    return version
-
-
-def _reservations(spark: SparkSession, root: str) -> dict[str, int]:
-    names = [n.removeprefix(RESERVED) for n in children(spark, root) if n.startswith(RESERVED)]
-    return {owner: int(version) for version, _, owner in (n.partition("=") for n in names)}
-
-
-def _next_version(spark: SparkSession, root: str) -> int:
-    return max([0, *versions(spark, root), *_reservations(spark, root).values()]) + 1
-
-
 def version_path(root: str, version: int) -> str:
     return f"{root}/{VERSION}{version:010d}"
 
@@ -98,9 +77,30 @@ def read_current(
     schema: StructType | None = None,
     before: int | None = None,
 ) -> DataFrame | None:
-    """The newest complete version, below ``before`` if given; None if there is none."""
+    """The newest complete version, below ``before`` if given; None if there is none.
+
+    Of a keyed table (:mod:`tidemark.sources.keyed`) the files that the version lists.
+    """
     known = [v for v in versions(spark, root) if before is None or v < before]
-    return read_table(spark, version_path(root, known[-1]), schema) if known else None
+    if not known:
+        return None
+    rows = read_table(spark, version_path(root, known[-1]))
+    if KEYED in rows.columns:
+        return _listed_files(spark, root, rows, schema)
+    return rows if schema is None else read_table(spark, version_path(root, known[-1]), schema)
+
+
+def read_manifest(spark: SparkSession, root: str, version: int) -> DataFrame:
+    """The files of a version of a keyed table, and a row without a file about all of it."""
+    return read_table(spark, version_path(root, version))
+
+
+def _listed_files(spark: SparkSession, root: str, manifest: DataFrame, schema: StructType | None) -> DataFrame:
+    rows = manifest.select("file", "columns").collect()
+    if schema is None:
+        schema = StructType.fromJson(json.loads(next(r.columns for r in rows if r.file is None)))
+    files = [f"{root}/{r.file}" for r in rows if r.file is not None]
+    return spark.read.schema(schema).parquet(*files) if files else spark.createDataFrame([], schema)
 
 
 def drop_old_versions(spark: SparkSession, root: str, keep: int) -> list[int]:
@@ -127,7 +127,7 @@ def publish_version(
     """
     spark = df.sparkSession
     if version is None:
-        version = _next_version(spark, root)
+        version = max(versions(spark, root), default=0) + 1
     path = version_path(root, version)
     rows = Observation()
     df.observe(rows, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)

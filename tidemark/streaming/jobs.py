@@ -16,10 +16,12 @@ from pyspark.sql.types import StructType
 from tidemark import schemas
 from tidemark.functions.numeric import exact_avg, round_even
 from tidemark.operators.enrich import enrich_posts
-from tidemark.operators.merge import CHANGE, keep_first, sorted_by_key, upsert
+from tidemark.operators.merge import keep_first
 from tidemark.operators.sla import violations
 from tidemark.operators.stages import cleaned
-from tidemark.sources.tables import publish_version, read_current, reserve_version, versions
+from tidemark.plans.scratch import materialized
+from tidemark.sources.keyed import KeyedTable
+from tidemark.sources.tables import versions
 
 
 def landed_stream(
@@ -58,26 +60,21 @@ def merge_stream(
     compare: Sequence[str] | None = None,
     lineage: bool = True,
 ) -> StreamingQuery:
-    """Upsert every micro-batch into the versioned table at ``root``.
+    """Upsert every micro-batch into the keyed table at ``root``.
 
-    A batch that repeats a key contributes its first row by ``newest``.  A batch
-    reserves the next free version and builds on the newest one before it.  The
-    reservation names the stream (by the id that its checkpoint holds) and the batch, so
-    a replay starts from the same table and writes the same version, a new
-    checkpoint goes on from the table as it is, and what is complete is not redone.
+    A batch that repeats a key contributes its first row by ``newest``; it is written once
+    and merged into the files that its keys fall into.  Its version names the stream (by
+    the id that its checkpoint holds) and the batch, so a replay of a merged batch is
+    passed over and a new checkpoint goes on from the table as it is.  Any number of
+    streams and other writers may merge into one table at a time.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        version = reserve_version(spark, root, f"{_stream_id(spark, checkpoint)}.{batch_id}")
-        if version in versions(spark, root):
-            return
-        rows = keep_first(batch, key, newest)
-        existing = read_current(spark, root, before=version)
-        if existing is None:
-            existing = spark.createDataFrame([], rows.schema)
-        merged = upsert(existing, rows, key, compare, lineage, validate="incoming").drop(CHANGE)
-        publish_version(sorted_by_key(merged, key), root, version)
+        stream, target = _stream_id(spark, checkpoint), KeyedTable(spark, root, key)
+        if not _is_merged(target, stream, batch_id):
+            rows = materialized(keep_first(batch, key, newest), "micro-batch")
+            target.merge(rows, compare, lineage, owner=f"{stream}.{batch_id}")
 
     return (
         incoming.writeStream.foreachBatch(merge)
@@ -87,6 +84,15 @@ def merge_stream(
     )
 
 
+def _is_merged(target: KeyedTable, stream: str, batch_id: int) -> bool:
+    """Whether the newest version that the stream has merged is of this batch."""
+    for version in reversed(versions(target.spark, target.root)):
+        owner, _, number = (target.owner(version) or "").rpartition(".")
+        if owner == stream:
+            return int(number) >= batch_id
+    return False
+
+
 def _stream_id(spark: SparkSession, checkpoint: str) -> str:
     """The id that a stream keeps in its checkpoint for life."""
     return spark.read.json(f"{checkpoint}/metadata").first()["id"]
