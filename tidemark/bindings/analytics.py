@@ -17,6 +17,7 @@ from tidemark.bindings.tables import (
     rounded,
     runs,
     stage_runs,
+    table,
 )
 from tidemark.functions.numeric import exact_avg, exact_sum
 from tidemark.functions.text import utc_wall_clock
@@ -253,6 +254,27 @@ def _(spark, sf_dir):
     return baseline.stage_baseline(stage_runs(spark, sf_dir), "selection")
 
 
+def _many_stages(spark, sf_dir):
+    """Line items as executions: half of them in one stage, the others by order."""
+    large = F.col("l_quantity") > 25
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("run_id"),
+        F.when(large, "hot").otherwise(F.col("l_orderkey").cast("string")).alias("stage_name"),
+        F.floor("l_extendedprice").cast("double").alias("duration"),
+    )
+
+
+@query(
+    "g10_stage_baseline_many_stages",
+    f"""WITH stage_runs AS (
+          SELECT CASE WHEN l_quantity > 25 THEN 'hot' ELSE CAST(l_orderkey AS VARCHAR) END AS stage_name,
+                 CAST(floor(l_extendedprice) AS DOUBLE) AS duration FROM lineitem)
+        {BASELINE_SELECT} GROUP BY 1""",
+)
+def _(spark, sf_dir):
+    return baseline.stage_baseline(_many_stages(spark, sf_dir), "selection")
+
+
 @query(
     "g11_baseline_of_stage",
     f"{WITH_STAGES} {BASELINE_SELECT} WHERE stage_name = 'purchase' GROUP BY 1",

@@ -262,7 +262,7 @@ SELECT CAST(count(*) AS BIGINT) AS rows,
 FROM spread""",
 )
 def _(spark, sf_dir):
-    """Orders with customers' keys get new titles; files of higher keys only stay as they are."""
+    """Orders with customers' keys get new titles; files with higher keys only are kept."""
     target = KeyedTable(spark, scratch_dir(spark, "f6"), "post_id", rows_per_file=1000)
     orders = _orders(spark, sf_dir)
     first = target.merge(orders, lineage=False)
@@ -272,10 +272,10 @@ def _(spark, sf_dir):
     before, after = target.parts(first.version), target.parts(second.version)
     beyond = {p.file for p in before if p.low > last}
     kept = {p.file for p in before} & {p.file for p in after}
-    files = target.read().select("title", "post_id", F.col("_metadata.file_name").alias("file"))
-    names = {p.file.rsplit("/", 1)[1]: (p.low, p.high) for p in after}
+    name = F.regexp_extract("_metadata.file_path", "data/[^/]+/piece=[^/]+/[^/]+$", 0)
+    files = target.read().select("title", "post_id", name.alias("file"))
     # One row for each file of the table.
-    ranges = spark.createDataFrame([(n, *r) for n, r in names.items()], "file string, low long, high long")
+    ranges = spark.createDataFrame([(p.file, p.low, p.high) for p in after], "file string, low long, high long")
     outside = ~F.col("post_id").between(F.col("low"), F.col("high"))
     return files.join(ranges, "file").agg(
         F.count("*").alias("rows"),

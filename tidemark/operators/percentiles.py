@@ -2,9 +2,16 @@
 
 Spark's ``percentile`` keeps every distinct value of a group in one task.  That
 is right for small inputs; beyond them :func:`selected_percentiles` finds the
-wanted order statistics by narrowing intervals of values.  Each round is one
+wanted order statistics in one of two ways.
+
+Up to ``MAX_DIMENSION_ROWS`` groups it narrows intervals of values.  Each round is one
 scan with a map-side lookup and at most ``buckets`` partial counts per interval
 and task, so the rows themselves are never shuffled, whichever group they are in.
+
+Beyond, a table of intervals may not be sent to every task, and rows are not keyed by
+their group either: distinct values are counted, sorted into ranges of ``(group, value)``
+- a group with half of the rows covers half of the ranges - and the counts of a group's
+ranges tell in which of them a rank lies.
 """
 
 from __future__ import annotations
@@ -48,12 +55,38 @@ def _narrowed(histogram: DataFrame, intervals: DataFrame, by: str) -> DataFrame:
         .withColumn("upto", F.col("below") + F.col("upto"))
         .withColumn("start", F.col("upto") - F.col("c"))
     )
-    held = F.filter(
-        "targets", lambda t: (t["rank"] >= F.col("start")) & (t["rank"] < F.col("upto"))
-    )
+    held = _held(F.col("start"), F.col("upto"))
     return stepped.withColumn("targets", held).filter(F.size("targets") > 0)
 
 
+def _ranked(counted: DataFrame, intervals: DataFrame) -> DataFrame:
+    """``(g, v, targets)`` of the values at the target ranks, however many an interval has.
+
+    ``counted`` has ``(id, v, c)``.  Values are dealt into sorted ranges and written; the
+    ranges' totals, a few rows for each id and range, say where each of them begins.
+    """
+    ranges = counted.repartitionByRange("id", "v").withColumn("part", F.spark_partition_id())
+    placed = materialized(ranges, "ranges")
+    earlier = Window.partitionBy("id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = placed.groupBy("id", "part").agg(F.sum("c").alias("c"))
+    pieces = pieces.withColumn("prior", F.coalesce(F.sum("c").over(earlier), F.lit(0)))
+    pieces = pieces.join(intervals.select("id", "g", "below", "targets"), "id")
+    pieces = pieces.withColumn("start", F.col("below") + F.col("prior"))
+    ends = _held(F.col("start"), F.col("start") + F.col("c"))
+    pieces = pieces.select("id", "part", "g", "start", ends).withColumnRenamed("start", "below")
+    here = Window.partitionBy("id", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    inside = placed.join(pieces.filter(F.size("targets") > 0), ["id", "part"])
+    upto = F.col("below") + F.sum("c").over(here)
+    stepped = inside.withColumn("upto", upto).withColumn("start", F.col("upto") - F.col("c"))
+    found = stepped.select("g", "v", _held(F.col("start"), F.col("upto")))
+    return found.filter(F.size("targets") > 0)
+
+
+def _held(start: Column, end: Column) -> Column:
+    """The targets whose rank is in ``[start, end)``."""
+    return F.filter("targets", lambda t: (t["rank"] >= start) & (t["rank"] < end)).alias("targets")
+
+
 def selected_percentiles(
     df: DataFrame,
     group: str,
@@ -65,11 +98,10 @@ def selected_percentiles(
 ) -> DataFrame:
     """``(group, percentiles)`` by linear interpolation, null groups and values left out.
 
-    The first round buckets on a logarithmic scale, later ones linearly: ``rounds`` of
-    them, and more until every interval holds one value or few rows.  Those are then counted and ranked value by
-    value, so the result is exact for any distribution, infinities included.  The intervals of each round are
-    a small table in the scratch folder; the number of groups decides whether it
-    may be broadcast.  ``spans`` saves a scan for a caller that already has
+    Narrowing buckets on a logarithmic scale first, then linearly: ``rounds`` times, and on
+    until every interval holds one value or few rows, or no round gets any further.  What is left is counted and ranked value by value, so the result is exact for any
+    distribution, infinities included.  The intervals of each round are a small table in
+    the scratch folder.  ``spans`` saves a scan for a caller that already has
     ``(group, n, low, high)`` in a written table.
     """
     rows = df.select(F.col(group).alias("g"), F.col(value).alias("v")).filter(
@@ -84,7 +116,6 @@ def selected_percentiles(
         )
     else:
         spans = spans.withColumnRenamed(group, "g").filter(F.col("g").isNotNull() & (F.col("n") > 0))
-    bounded = spans.count() <= MAX_DIMENSION_ROWS
 
     def target(i: int, p: float, side) -> Column:
         position = F.lit(float(p)) * (F.col("n") - 1)
@@ -97,24 +128,29 @@ def selected_percentiles(
     wanted = [
         target(i, p, side) for i, p in enumerate(probabilities) for side in (F.floor, F.ceil)
     ]
-    intervals = materialized(
-        spans.select(
-            F.monotonically_increasing_id().alias("id"),
-            "g",
-            "low",
-            "high",
-            F.lit(0).cast("long").alias("below"),
-            F.array(*wanted).alias("targets"),
-        ),
-        "intervals",
+    whole = spans.select(
+        "g", "low", "high", F.lit(0).cast("long").alias("below"), F.array(*wanted).alias("targets")
     )
+    if spans.count() > MAX_DIMENSION_ROWS:
+        counted = rows.groupBy(F.col("g").alias("id"), "v").agg(F.count("*").alias("c"))
+        ranked = _ranked(counted, whole.withColumn("id", F.col("g")))
+    else:
+        ranked = _narrowed_down(rows, whole, rounds, buckets)
+    return _interpolated(ranked, group, probabilities)
+
+
+def _narrowed_down(rows: DataFrame, whole: DataFrame, rounds: int, buckets: int) -> DataFrame:
+    """The values at the target ranks of at most ``MAX_DIMENSION_ROWS`` groups."""
+    intervals = materialized(whole.withColumn("id", F.monotonically_increasing_id()), "intervals")
 
     def inside(intervals: DataFrame) -> DataFrame:
         # At most two intervals per percentile and group.
-        lookup = intervals.select("id", "g", "low", "high")
-        lookup = F.broadcast(lookup) if bounded else lookup
+        lookup = F.broadcast(intervals.select("id", "g", "low", "high"))
         return rows.join(lookup, "g").filter(F.col("v").between(F.col("low"), F.col("high")))
 
+    def counted(intervals: DataFrame) -> DataFrame:
+        return inside(intervals).groupBy("id", "v").agg(F.count("*").alias("c"))
+
     scale, left, turn = _magnitude, None, 0
     while True:
         edges = [scale(F.col(c)) for c in ("v", "low", "high")]
@@ -138,11 +174,15 @@ def selected_percentiles(
             continue
         wide = intervals.filter((F.col("low") < F.col("high")) & (F.col("c") > FEW_ROWS))
         left, before = wide.agg(F.sum("c")).first()[0], left
+        if left is None:
+            return _narrowed(counted(intervals), intervals, "v").select("g", "v", "targets")
         # Values at the very ends of the range may not come apart on either scale.
-        if left is None or left == before:
-            break
-    counted = inside(intervals).groupBy("id", "v").agg(F.count("*").alias("c"))
-    ranked = _narrowed(counted, intervals, "v").select("g", "v", F.explode("targets").alias("t"))
+        if left == before:
+            return _ranked(counted(intervals), intervals)
+
+
+def _interpolated(ranked: DataFrame, group: str, probabilities: Sequence[float]) -> DataFrame:
+    ranked = ranked.select("g", "v", F.explode("targets").alias("t"))
     # The values at the ranks either side of each percentile's position.
     of = [F.col("t.i") == i for i in range(len(probabilities))]
     per_group = ranked.groupBy("g").agg(
