@@ -16,7 +16,6 @@ from tidemark.llm.byte_bpe import encoder
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 LIBRARY = Tokenizer.from_file(BPE)
-LIBRARY.encode_special_tokens = True
 PIECES = sentencepiece.SentencePieceProcessor(model_file=MODEL)
 DOCS = "doc_id long, text string, n_tokens long, start string, file int"
 TEXTS = st.lists(
@@ -46,6 +45,15 @@ def test_byte_bpe_equals_the_library(text):
     assert np.frombuffer(encoder(BPE).packed(text), "<u4").tolist() == library_ids(text)
 
 
+@pytest.mark.parametrize(
+    "text", ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> ", "x<|endoftext|", "\n<|endoftext|>\n  y"]
+)
+def test_special_tokens_equal_the_library(text):
+    found = np.frombuffer(encoder(BPE).packed(text), "<u4").tolist()
+    assert found == library_ids(text)
+    assert (50256 in found) == ("<|endoftext|>" in text)
+
+
 @settings(max_examples=300, deadline=None)
 @given(TEXTS)
 def test_chunks_equal_the_library(text):

@@ -5,6 +5,9 @@ split reaches over a single space that follows or precedes a visible character.
 is therefore cut at its spaces, and every distinct word with its space is split and
 merged once per worker.  Texts with white space of another kind around a space are
 split by the pattern as a whole.
+
+Added tokens of the vocabulary file, special ones too, are found in a text before
+anything else, as the library does it; what stands between them is encoded by itself.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ import json
 import os
 import sys
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 import regex
@@ -30,6 +34,23 @@ def _byte_characters() -> list[str]:
     return [table[b] for b in range(256)]
 
 
+class _Words(dict):
+    """Ids of words with the space before them, made on demand.
+
+    None stands for a word that has to be seen in its text.
+    """
+
+    def __init__(self, split: Callable[[str], bytes]) -> None:
+        self._split = split
+
+    def __missing__(self, word: str) -> bytes | None:
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        found = None if not word or word[0].isspace() else self._split(" " + word)
+        self[word] = found
+        return found
+
+
 class ByteBpe:
     """Encoder of one vocabulary file; bounded memory, equal to the library's own ids."""
 
@@ -49,8 +70,17 @@ class ByteBpe:
         self._model = Tokenizer.from_file(path).model
         self._parts = regex.compile(PATTERN)
         self._characters = _byte_characters()
-        self._words: dict[str, bytes | None] = {}
-        self._firsts: dict[str, bytes | None] = {}
+        self._words = _Words(self._split)
+        self._added = self._added_tokens(settings.get("added_tokens") or [], path)
+        longest_first = sorted(self._added, key=len, reverse=True)
+        self._cut = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")")
+
+    @staticmethod
+    def _added_tokens(added: list[dict], path: str) -> dict[str, bytes]:
+        for token in added:
+            if token.get("lstrip") or token.get("rstrip") or token.get("single_word"):
+                raise ValueError(f"{path}: {token['content']} takes part of the text around it")
+        return {token["content"]: int(token["id"]).to_bytes(4, "little") for token in added}
 
     def _merged(self, part: str) -> list[int]:
         mapped = "".join([self._characters[b] for b in part.encode("utf-8", "surrogatepass")])
@@ -63,27 +93,20 @@ class ByteBpe:
             packed.byteswap()
         return packed.tobytes()
 
-    def _word(self, word: str) -> bytes | None:
-        """Ids of a word and the space before it; None if the word has to be seen in its text."""
-        if len(self._words) >= CACHED_WORDS:
-            self._words.clear()
-        found = None if not word or word[0].isspace() else self._split(" " + word)
-        self._words[word] = found
-        return found
-
     def packed(self, text: str | None) -> bytes:
         """The ids of the whole text as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        words = text.split(" ")
-        known = self._words
-        out = [self._split(words[0])]
-        for word in words[1:]:
-            found = known.get(word) or self._word(word)
-            if found is None:
-                return self._split(text)
-            out.append(found)
-        return b"".join(out)
+        if any(token in text for token in self._added):
+            return b"".join(self._added.get(part) or self._plain(part) for part in self._cut.split(text) if part)
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
+        first, *words = text.split(" ")
+        try:
+            return self._split(first) + b"".join(map(self._words.__getitem__, words))
+        except TypeError:  # a word that has to be seen in its text
+            return self._split(text)
 
     def count(self, text: str | None) -> int:
         return len(self.packed(text)) // 4
