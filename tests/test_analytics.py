@@ -157,22 +157,64 @@ def test_stage_analytics(spark, rows):
          ("run-003", "POST INGESTION", 1.5)],
         STAGE_ROWS,
     )
-    bundle = stages.stage_analytics(df)
-    assert bundle["total_stage_executions"].first()[0] == 5
-    assert rows(bundle["stage_average_duration"]) == [
+    found = {}
+    for r in stages.full_analytics(df).collect():
+        found.setdefault(r.section, []).append(r)
+    assert [r.executions for r in found["total"]] == [5]
+    assert sorted((r.stage_name, r.average_duration) for r in found["stage"]) == [
         ("POST INGESTION", 1.5), ("USER INGESTION", 0.6)]
-    assert bundle["fastest_stage_execution"].first()["duration"] == 0.5
-    assert bundle["slowest_stage_execution"].first()["duration"] == 2.0
-    assert bundle["slowest_stage_by_average"].first()["stage_name"] == "POST INGESTION"
-    assert bundle["fastest_stage_by_average"].first()["stage_name"] == "USER INGESTION"
-    assert ("POST INGESTION", 3, 1.5, 1.0, 2.0) in rows(bundle["stage_summary"])
+    assert [(r.run_id, r.duration) for r in found["fastest_execution"]] == [("run-001", 0.5)]
+    assert [(r.run_id, r.duration) for r in found["slowest_execution"]] == [("run-002", 2.0)]
+    assert [r.stage_name for r in found["slowest_average"]] == ["POST INGESTION"]
+    assert [r.stage_name for r in found["fastest_average"]] == ["USER INGESTION"]
+    stage = next(r for r in found["stage"] if r.stage_name == "POST INGESTION")
+    assert (stage.executions, stage.minimum_duration, stage.maximum_duration) == (3, 1.0, 2.0)
     assert tuple(stages.stage_analytics_summary(df).first()) == (
         5, "USER INGESTION", "POST INGESTION", 0.6, 1.5)
-    empty = stages.stage_analytics(df.limit(0))
-    assert empty["total_stage_executions"].first()[0] == 0
-    for name in ("stage_average_duration", "fastest_stage_execution", "stage_summary",
-                 "slowest_stage_by_average"):
-        assert empty[name].count() == 0
+    empty = stages.full_analytics(df.limit(0)).collect()
+    assert [(r.section, r.executions) for r in empty] == [("total", 0)]
+
+
+def test_full_sla_report(spark):
+    df = spark.createDataFrame(
+        [("1", "A", 1.0), ("2", "A", 3.0), ("1", "B", 5.0), ("1", "other", 9.0), ("2", "B", None)], STAGE_ROWS)
+    limits = {"B": 2.0, "A": 2.0, "C": 1.0}
+    report = sla.full_report(df, limits)
+    found = [(r.section, r.position, r.stage_name, r.executions, r.violations, r.violation_rate)
+             for r in report.orderBy("section", "position").collect()]
+    assert found == [
+        ("overall", 0, None, 5, 2, 40.0), ("stage", 0, "B", 2, 1, 50.0), ("stage", 1, "A", 2, 1, 50.0),
+        ("stage", 2, "C", 0, 0, 0.0), ("worst", 0, "B", 2, 1, 50.0)]
+    empty = sla.full_report(df.limit(0), limits).collect()
+    assert sorted({r.section for r in empty}) == ["overall", "stage"]
+    assert [r.sla_status for r in empty if r.section == "overall"] == ["NO DATA"]
+
+
+def test_full_monitoring_report(spark):
+    schema = "run_id string, status string, started_at timestamp, total_duration double, failed_stage string, error string"
+    data = [("1", "SUCCESS", datetime(2026, 1, 1, 10), 3.0, None, None),
+            ("2", "FAILED", datetime(2026, 1, 1, 11), 9.0, "X", "broken"),
+            ("3", "SUCCESS", datetime(2026, 1, 1, 9), 7.0, None, None)]
+    df = spark.createDataFrame(data, schema)
+    found = runs.full_monitoring_report(df, 5.0).collect()
+    assert sorted((r.section, r.run_id or "") for r in found) == [
+        ("failed", "2"), ("latest", "2"), ("slow", "2"), ("slow", "3"), ("summary", "")]
+    summary = next(r for r in found if r.section == "summary")
+    assert (summary.total_runs, summary.failed_runs, summary.slow_runs, summary.health) == (3, 1, 2, "FAILED")
+    failed = next(r for r in found if r.section == "failed")
+    assert (failed.failed_stage, failed.error) == ("X", "broken")
+    nothing = runs.full_monitoring_report(df.limit(0), 5.0).collect()
+    assert [(r.section, r.total_runs, r.health) for r in nothing] == [("summary", 0, "HEALTHY")]
+
+
+def test_recommendation_report(spark):
+    baseline_rows = [("A", 3, 1.0, 1.5), ("B", 2, 4.0, 5.0)]
+    frame = spark.createDataFrame(
+        baseline_rows, "stage_name string, executions long, average_duration double, p95_duration double")
+    report = sla.recommendation_report(sla.recommendations(frame, {"A": 2.0, "B": 2.0, "C": 1.0}))
+    found = sorted((r.section, r.stage_name or "", r.total_stages) for r in report.collect())
+    assert found == [("investigate", "B", None), ("recommendation", "A", None),
+                     ("recommendation", "B", None), ("summary", "", 2)]
 
 
 BASELINE_ROWS = [

@@ -186,6 +186,26 @@ def _(spark, sf_dir):
     return report.withColumn("latest_started_at", clock)
 
 
+@query(
+    "j8_full_monitoring_report",
+    f"""{WITH_RUNS}, latest AS (SELECT * FROM runs ORDER BY started_at DESC, run_id LIMIT 1)
+        SELECT 'summary' AS section, NULL AS run_id, NULL AS status, NULL AS started_at,
+          CAST(NULL AS DOUBLE) AS total_duration, count(*) AS total_runs,
+          count(*) FILTER (WHERE status = 'FAILED') AS failed_runs,
+          count(*) FILTER (WHERE total_duration > {SLOW_RUN}) AS slow_runs, {HEALTH} AS health,
+          NULL AS failed_stage, NULL AS error FROM runs
+        UNION ALL SELECT 'latest', run_id, status, {clock_sql("started_at")}, total_duration,
+          NULL, NULL, NULL, NULL, NULL, NULL FROM latest
+        UNION ALL SELECT 'failed', run_id, status, {clock_sql("started_at")}, total_duration,
+          NULL, NULL, NULL, NULL, failed_stage, error FROM runs WHERE status = 'FAILED'
+        UNION ALL SELECT 'slow', run_id, status, {clock_sql("started_at")}, total_duration,
+          NULL, NULL, NULL, NULL, failed_stage, error FROM runs WHERE total_duration > {SLOW_RUN}""",
+)
+def _(spark, sf_dir):
+    report = run_stats.full_monitoring_report(runs(spark, sf_dir), SLOW_RUN)
+    return report.withColumn("started_at", F.date_format(utc_wall_clock("started_at"), CLOCK))
+
+
 # -- stages --------------------------------------------------------------------------
 
 
@@ -436,6 +456,29 @@ def _(spark, sf_dir):
     return stages.stage_analytics_summary(stage_runs(spark, sf_dir))
 
 
+_EXECUTION = """UNION ALL SELECT * FROM (SELECT '{0}_execution', stage_name, run_id, NULL, duration,
+          NULL, NULL, NULL FROM stage_runs ORDER BY duration {1}, event_id LIMIT 1)"""
+_AVERAGE = """UNION ALL SELECT * FROM (SELECT '{0}_average', stage_name, NULL, NULL, NULL, {2}, NULL,
+          NULL FROM means ORDER BY mean {1}, stage_name LIMIT 1)"""
+
+
+@query(
+    "j9_full_analytics",
+    f"""{WITH_STAGES}, means AS (SELECT stage_name, {MEAN} AS mean FROM stage_runs GROUP BY 1)
+        SELECT 'total' AS section, NULL AS stage_name, NULL AS run_id, count(*) AS executions,
+          CAST(NULL AS DOUBLE) AS duration, CAST(NULL AS DOUBLE) AS average_duration,
+          CAST(NULL AS DOUBLE) AS minimum_duration, CAST(NULL AS DOUBLE) AS maximum_duration
+        FROM stage_runs
+        UNION ALL SELECT 'stage', stage_name, NULL, count(duration), NULL, {rounded(MEAN, 3)},
+          {rounded("min(duration)", 3)}, {rounded("max(duration)", 3)} FROM stage_runs GROUP BY stage_name
+        {_EXECUTION.format("fastest", "ASC")} {_EXECUTION.format("slowest", "DESC")}
+        {_AVERAGE.format("fastest", "ASC", rounded("mean", 3))}
+        {_AVERAGE.format("slowest", "DESC", rounded("mean", 3))}""",
+)
+def _(spark, sf_dir):
+    return stages.full_analytics(stage_runs(spark, sf_dir), ["event_id"])
+
+
 @query(
     "j10_baseline_summary",
     f"""{WITH_BASELINE}
@@ -549,6 +592,27 @@ def _(spark, sf_dir):
     return sla.overall_report(stage_runs(spark, sf_dir), THRESHOLDS)
 
 
+_RATED = "compliance_rate, violation_rate, sla_status"
+
+
+@query(
+    "j4_full_sla_report",
+    f"""{REPORT}, totals AS (SELECT count(*) AS executions, {BROKEN} AS violations FROM stage_runs)
+        SELECT 'overall' AS section, 0 AS position, NULL AS stage_name, executions,
+          CAST(NULL AS DOUBLE) AS sla_threshold, violations,
+          {percent("executions - violations", "executions")} AS compliance_rate,
+          {percent("violations", "executions")} AS violation_rate,
+          CASE WHEN executions = 0 THEN 'NO DATA' WHEN violations = 0 THEN 'PASSED'
+               ELSE 'VIOLATION' END AS sla_status FROM totals
+        UNION ALL SELECT 'stage', ord, stage_name, executions, sla_threshold, violations, {_RATED}
+        FROM report
+        UNION ALL SELECT * FROM (SELECT 'worst', 0, stage_name, executions, sla_threshold, violations,
+          {_RATED} FROM report WHERE executions > 0 ORDER BY violation_rate DESC, ord LIMIT 1)""",
+)
+def _(spark, sf_dir):
+    return sla.full_report(stage_runs(spark, sf_dir), THRESHOLDS)
+
+
 RECOMMENDED = f"""{WITH_BASELINE}, {LIMITS}, recommended AS (
   SELECT b.stage_name, b.executions, b.average_duration, b.p95_duration,
          l.sla_threshold AS current_sla, {rounded("b.p95_duration", 3)} AS recommended_sla,
@@ -576,6 +640,21 @@ def _(spark, sf_dir):
     return sla.recommendation_summary(_recommended(spark, sf_dir))
 
 
+@query(
+    "j6_full_recommendation_report",
+    f"""{RECOMMENDED} SELECT 'summary' AS section, NULL AS stage_name, CAST(NULL AS BIGINT) AS executions,
+          CAST(NULL AS DOUBLE) AS average_duration, CAST(NULL AS DOUBLE) AS p95_duration,
+          CAST(NULL AS DOUBLE) AS current_sla, CAST(NULL AS DOUBLE) AS recommended_sla,
+          NULL AS recommendation, count(*) AS total_stages,
+          count(*) FILTER (WHERE recommendation = 'INVESTIGATE') AS stages_to_investigate FROM recommended
+        UNION ALL SELECT 'recommendation', *, NULL, NULL FROM recommended
+        UNION ALL SELECT 'investigate', *, NULL, NULL FROM recommended
+          WHERE recommendation = 'INVESTIGATE'""",
+)
+def _(spark, sf_dir):
+    return sla.recommendation_report(_recommended(spark, sf_dir))
+
+
 @query(
     "c8_stages_to_investigate",
     f"{RECOMMENDED} SELECT * FROM recommended WHERE recommendation = 'INVESTIGATE'",

@@ -276,6 +276,34 @@ def _(spark, sf_dir):
     return checks.validation_suite(_staged(spark, sf_dir))
 
 
+@query(
+    "d13_suite_with_freshness",
+    """SELECT position, check_name, status, violations, detail FROM (
+         SELECT 3 AS position, 'unique_key' AS check_name,
+           CASE WHEN count(*) > count(DISTINCT o_custkey) THEN 'FAILED' ELSE 'PASSED' END AS status,
+           CAST(count(*) - count(DISTINCT o_custkey) AS BIGINT) AS violations,
+           CASE WHEN count(*) > count(DISTINCT o_custkey) THEN 'Duplicate o_custkey values found'
+                ELSE '' END AS detail FROM orders
+         UNION ALL SELECT 5, 'freshness',
+           CASE WHEN max(o_orderdate) < TIMESTAMP '2000-01-02' THEN 'FAILED' ELSE 'PASSED' END,
+           CAST(max(o_orderdate) < TIMESTAMP '2000-01-02' AS BIGINT),
+           CASE WHEN max(o_orderdate) < TIMESTAMP '2000-01-02' THEN 'the newest row is too old' ELSE '' END
+         FROM orders)""",
+)
+def _(spark, sf_dir):
+    """Orders as rows of a customer, a day after the turn of the century."""
+    suite = checks.validation_suite(
+        table(spark, sf_dir, "orders").withColumn("at", F.col("o_orderdate").cast("timestamp_ntz")),
+        key="o_custkey",
+        required=["o_custkey"],
+        not_null=["o_custkey"],
+        lengths={},
+        now=F.lit("2000-01-03").cast("timestamp_ntz"),
+        fresh="at",
+    )
+    return suite.filter(F.col("check_name").isin("unique_key", "freshness"))
+
+
 @query(
     "d13_validation_suite_failing",
     """SELECT 'unique_key' AS check_name, 'FAILED' AS status,

@@ -144,8 +144,14 @@ def freshness(
     column: str = "processed_at",
 ) -> DataFrame:
     """One check row; strictly older than ``max_hours`` fails, no timestamp is NO DATA."""
+    zoned = isinstance(df.schema[column].dataType, TimestampType)
     latest = df.agg(F.max(column).alias("latest"))
-    if isinstance(df.schema[column].dataType, TimestampType):
+    return _rows(latest, [_freshness_row(0, now, max_hours, zoned)])
+
+
+def _freshness_row(position: int, now: Column, max_hours: float, zoned: bool) -> Column:
+    """The check row of an aggregate with the ``latest`` timestamp."""
+    if zoned:
         # Instants, so that a clock change in the session's zone does not count.
         age = F.unix_micros(now) - F.unix_micros("latest")
         too_old = age > F.lit(round(max_hours * 3_600_000_000))
@@ -156,13 +162,13 @@ def freshness(
         .when(too_old, "FAILED")
         .otherwise("PASSED")
     )
-    return latest.select(
-        F.lit(0).alias("position"),
+    return F.struct(
+        F.lit(position).alias("position"),
         F.lit("freshness").alias("check_name"),
         status.alias("status"),
         (status != "PASSED").cast("long").alias("violations"),
         F.when(status == "NO DATA", "no timestamps")
-        .when(status == "FAILED", "Data freshness SLA violated")
+        .when(status == "FAILED", "the newest row is too old")
         .otherwise("")
         .alias("detail"),
     )
@@ -246,15 +252,28 @@ def validation_suite(
     required: Sequence[str] = REQUIRED,
     not_null: Sequence[str] = NOT_NULL,
     lengths: Mapping[str, str] = LENGTHS,
+    now: Column | None = None,
+    max_hours: float = schemas.FRESHNESS_HOURS,
+    fresh: str = "processed_at",
 ) -> DataFrame:
-    """The whole suite: one global aggregate and one key aggregate, never one scan per check."""
+    """The whole suite from one scan: a row for each key, and one row of those.
+
+    With ``now`` the age of the newest ``fresh`` timestamp is checked as well.
+    """
     absent = missing_columns(df, required)
     not_null = [c for c in not_null if c in df.columns]
     lengths = {k: v for k, v in lengths.items() if k in df.columns and v in df.columns}
-    counted = df.agg(
-        F.count("*").alias("_rows"),
-        *[F.count_if(is_missing(df, c)).alias(f"null_{c}") for c in not_null],
-        *[F.count_if(length_mismatch(k, v)).alias(f"bad_{k}") for k, v in lengths.items()],
+    counts = {"_rows": F.count("*")}
+    counts |= {f"null_{c}": F.count_if(is_missing(df, c)) for c in not_null}
+    counts |= {f"bad_{k}": F.count_if(length_mismatch(k, v)) for k, v in lengths.items()}
+    dated = now is not None and fresh in df.columns
+    latest = [F.max(fresh).alias("latest")] if dated else []
+    rows = df.groupBy(key) if key in df.columns else df.groupBy()
+    per_key = rows.agg(*[c.alias(name) for name, c in counts.items()], *latest)
+    counted = per_key.agg(
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counts],
+        F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0)).alias("duplicates"),
+        *([F.max("latest").alias("latest")] if dated else []),
     )
     nulls = sum((F.col(f"null_{c}") for c in not_null), F.lit(0))
     listed = F.concat_ws(
@@ -267,7 +286,7 @@ def validation_suite(
             for c in not_null
         ],
     )
-    rows = [
+    suite = [
         _row(
             1,
             "required_columns",
@@ -278,21 +297,15 @@ def validation_suite(
         _row(4, "not_null", nulls, F.concat(F.lit("Null values found: "), listed)),
     ]
     for place, name in enumerate(lengths):
-        rows.append(
-            _row(
-                5 + place,
-                f"{name}_consistent",
-                F.col(f"bad_{name}"),
-                F.lit(f"{name} values are incorrect"),
-            )
-        )
-    suite = _rows(counted, rows)
+        wrong = F.lit(f"{name} values are incorrect")
+        suite.append(_row(5 + place, f"{name}_consistent", F.col(f"bad_{name}"), wrong))
     if key in df.columns:
-        unique = _row(
-            3, "unique_key", F.col("duplicates"), F.lit(f"Duplicate {key} values found")
-        )
-        suite = suite.unionByName(_rows(key_summary(df, key), [unique]))
-    return suite
+        repeated = F.lit(f"Duplicate {key} values found")
+        suite.append(_row(3, "unique_key", F.col("duplicates"), repeated))
+    if dated:
+        zoned = isinstance(df.schema[fresh].dataType, TimestampType)
+        suite.append(_freshness_row(5 + len(lengths), now, max_hours, zoned))
+    return _rows(counted, suite)
 
 
 def assert_passed(checks: DataFrame) -> None:

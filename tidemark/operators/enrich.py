@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, MapType, StructType, TimestampType
 
 from tidemark import schemas
+from tidemark.functions.numeric import measure
 from tidemark.functions.text import parse_timestamp
 
 # Landing field names and the names used afterwards.
@@ -84,12 +85,11 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
             # unless they already are integers (a double would lose digits).
             value = F.col(field.name)
             if df.schema[field.name].dataType.typeName() in ("string", "double", "float"):
-                value = F.coalesce(value.try_cast("long"), value.try_cast("double").try_cast("long"))
+                value = F.coalesce(value.try_cast("long"), measure(value).try_cast("long"))
             else:
                 value = value.try_cast("long")
         elif isinstance(field.dataType, DoubleType):
-            value = F.col(field.name).try_cast("double")
-            value = F.when(~F.isnan(value), value)
+            value = measure(field.name)
         elif isinstance(field.dataType, MapType):
             # Older layouts hold the map as JSON text; what does not parse is null.
             value = F.col(field.name)

@@ -131,6 +131,45 @@ def monitoring_report(
     )
 
 
+def full_monitoring_report(
+    runs: DataFrame, threshold: float = SLOW_RUN_SECONDS, order_by: str = "run_id"
+) -> DataFrame:
+    """The report with its lists, as rows with a section.
+
+    ``summary`` has the counts and health, ``latest`` the latest run, and ``failed`` and
+    ``slow`` a row for each such run, which stays where it is: the ledger is scanned once
+    for the former and once, filtered, for the lists.
+    """
+    report = monitoring_report(runs, threshold, order_by)
+    text, number = F.lit(None).cast("string"), F.lit(None).cast("long")
+    counts = ("total_runs", "failed_runs", "slow_runs")
+    started = F.lit(None).cast(runs.schema["started_at"].dataType)
+    summary = F.struct(
+        F.lit("summary").alias("section"), text.alias("run_id"), text.alias("status"),
+        started.alias("started_at"), F.lit(None).cast("double").alias("total_duration"),
+        *[F.col(c) for c in counts], F.col("health"),
+    )
+    latest = F.struct(
+        F.lit("latest").alias("section"),
+        F.col("latest_run_id").alias("run_id"),
+        F.col("latest_status").alias("status"),
+        F.col("latest_started_at").alias("started_at"),
+        measure("latest_total_duration").alias("total_duration"),
+        *[number.alias(c) for c in counts],
+        text.alias("health"),
+    )
+    sections = F.when(F.col("latest_run_id").isNull(), F.array(summary)).otherwise(F.array(summary, latest))
+    head = report.select(F.inline(sections)).withColumns({"failed_stage": text, "error": text})
+    failed, slow = F.col("status") == FAILED, measure("total_duration") > threshold
+    of = F.array_compact(F.array(F.when(failed, F.lit("failed")), F.when(slow, F.lit("slow"))))
+    listed = runs.filter(failed | slow).select(
+        F.explode(of).alias("section"), "run_id", "status", "started_at",
+        measure("total_duration").alias("total_duration"),
+        *[number.alias(c) for c in counts], text.alias("health"), "failed_stage", "error",
+    )
+    return head.unionByName(listed)
+
+
 def last_state(
     runs: DataFrame, by: str | None = None, order_by: Sequence[str] = ("run_id",)
 ) -> DataFrame:

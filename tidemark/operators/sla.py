@@ -202,6 +202,44 @@ def overall_report(
     )
 
 
+def full_report(stage_runs: DataFrame, thresholds: Thresholds = STAGE_SLA) -> DataFrame:
+    """The complete report in rows ``(section, position, ..)``.
+
+    ``overall`` counts all executions, configured or not; ``stage`` are the rows of
+    :func:`stage_report` in order; ``worst`` is that of :func:`worst_stage`, if there is
+    one.  One scan: partial counts per threshold, of which grouping sets make the totals.
+    """
+    table = threshold_table(stage_runs.sparkSession, thresholds)
+    counted = (
+        _with_thresholds(stage_runs, table, thresholds, "left")
+        .groupBy("ord")
+        .agg(
+            F.count("*").alias("executions"),
+            F.count_if(F.col("duration") > F.col("sla_threshold")).alias("violations"),
+        )
+    )
+    # Stages without an execution are rows too.
+    counted = counted.withColumns(
+        {"stage_name": F.lit(None).cast("string"), "sla_threshold": F.lit(None).cast("double")}
+    ).unionByName(table.withColumns({"executions": F.lit(0), "violations": F.lit(0)}))
+    summed = counted.groupingSets([["ord"], []], "ord").agg(
+        F.grouping("ord").alias("all"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("executions", "violations")],
+        *[F.max(c).alias(c) for c in ("stage_name", "sla_threshold")],
+    )
+    rated = _rates(summed)
+    stages = rated.filter("all = 0 AND ord IS NOT NULL")
+    shown = [c for c in _REPORT if c not in ("stage_name", "sla_threshold")]
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("stage_name", "string"), ("sla_threshold", "double"))]
+    overall = rated.filter("all = 1").select(
+        F.lit("overall").alias("section"), F.lit(0).alias("position"), *nothing, *shown
+    )
+    worst = stages.filter("executions > 0").orderBy(F.col("violation_rate").desc(), "ord").limit(1)
+    return overall.unionByName(
+        stages.select(F.lit("stage").alias("section"), F.col("ord").cast("int").alias("position"), *_REPORT)
+    ).unionByName(worst.select(F.lit("worst").alias("section"), F.lit(0).alias("position"), *_REPORT))
+
+
 def recommendations(
     baseline: DataFrame, thresholds: Thresholds = STAGE_SLA
 ) -> DataFrame:
@@ -225,6 +263,28 @@ def to_investigate(recommended: DataFrame) -> DataFrame:
     return recommended.filter(F.col("recommendation") == "INVESTIGATE")
 
 
+def recommendation_report(recommended: DataFrame) -> DataFrame:
+    """Totals, every recommendation, and the stages to investigate, as rows with a section.
+
+    Grouping sets give the stages' rows and their totals, so the baseline behind them is
+    computed once.
+    """
+    columns = recommended.columns
+    investigate = F.col("recommendation") == "INVESTIGATE"
+    rows = recommended.groupingSets([columns, []], *columns).agg(
+        F.grouping("stage_name").alias("all"),
+        F.count("*").alias("total_stages"),
+        F.count_if(investigate).alias("stages_to_investigate"),
+    )
+    section = (
+        F.when(F.col("all") == 1, F.array(F.lit("summary")))
+        .when(F.col("stages_to_investigate") > 0, F.array(F.lit("recommendation"), F.lit("investigate")))
+        .otherwise(F.array(F.lit("recommendation")))
+    )
+    totals = [F.when(F.col("all") == 1, F.col(c)).alias(c) for c in ("total_stages", "stages_to_investigate")]
+    return rows.select(F.explode(section).alias("section"), *columns, *totals)
+
+
 def recommendation_summary(recommended: DataFrame) -> DataFrame:
     return recommended.agg(
         F.count("*").alias("total_stages"),

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import exact_avg, exact_sum, exceeds, measure, round_even
@@ -79,17 +79,66 @@ def extreme_stage_by_average(stage_runs: DataFrame, slowest: bool) -> DataFrame:
     )
 
 
-def stage_analytics(stage_runs: DataFrame, order_by: Sequence[str] = ORDER) -> dict:
-    """All stage statistics by name, each a lazy DataFrame."""
-    return {
-        "total_stage_executions": total_executions(stage_runs),
-        "stage_average_duration": average_by_stage(stage_runs),
-        "fastest_stage_execution": extreme_execution(stage_runs, False, order_by),
-        "slowest_stage_execution": extreme_execution(stage_runs, True, order_by),
-        "slowest_stage_by_average": extreme_stage_by_average(stage_runs, True),
-        "fastest_stage_by_average": extreme_stage_by_average(stage_runs, False),
-        "stage_summary": stage_summary(stage_runs),
-    }
+def full_analytics(stage_runs: DataFrame, order_by: Sequence[str] = ORDER) -> DataFrame:
+    """All stage statistics as rows with a section.
+
+    ``total`` counts every row; ``stage`` has executions, mean and extremes of each named
+    stage; ``fastest_average`` and ``slowest_average`` name a stage; ``fastest_execution``
+    and ``slowest_execution`` are single rows of the ledger.  One scan for the aggregates,
+    whose totals are grouping sets of the stages' rows, and one bounded top-1 for each
+    extreme execution.
+    """
+    rows = cleaned(stage_runs)
+    per_stage = rows.groupBy("stage_name").agg(
+        F.count("*").alias("all_rows"),
+        F.count("duration").alias("executions"),
+        exact_avg("duration").alias("mean"),
+        F.min("duration").alias("low"),
+        F.max("duration").alias("high"),
+    )
+    both = per_stage.groupingSets([["stage_name"], []], "stage_name").agg(
+        F.grouping("stage_name").alias("all"),
+        F.coalesce(F.sum("all_rows"), F.lit(0)).alias("all_rows"),
+        F.sum("executions").alias("executions"),
+        *[F.max(c).alias(c) for c in ("mean", "low", "high")],
+    )
+    named = both.filter("all = 0 AND stage_name IS NOT NULL")
+
+    def section(name: str, df: DataFrame, **values: Column) -> DataFrame:
+        kinds = {
+            "stage_name": "string", "run_id": "string", "executions": "long", "duration": "double",
+            "average_duration": "double", "minimum_duration": "double", "maximum_duration": "double",
+        }
+        given = {c: values.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in kinds.items()}
+        return df.select(F.lit(name).alias("section"), *given.values())
+
+    def by_mean(name: str, order: Column) -> DataFrame:
+        first = named.filter("mean IS NOT NULL").orderBy(order, "stage_name").limit(1)
+        mean = round_even(F.col("mean"), 3)
+        return section(name, first, stage_name=F.col("stage_name"), average_duration=mean)
+
+    def extreme(name: str, slowest: bool) -> DataFrame:
+        columns = {c: F.col(c) for c in ("run_id", "stage_name", "duration")}
+        return section(name, extreme_execution(stage_runs, slowest, order_by), **columns)
+
+    per_name = section(
+        "stage",
+        named,
+        stage_name=F.col("stage_name"),
+        executions=F.col("executions"),
+        average_duration=round_even(F.col("mean"), 3),
+        minimum_duration=round_even(F.col("low"), 3),
+        maximum_duration=round_even(F.col("high"), 3),
+    )
+    out = section("total", both.filter("all = 1"), executions=F.col("all_rows")).unionByName(per_name)
+    for part in (
+        by_mean("fastest_average", F.col("mean").asc()),
+        by_mean("slowest_average", F.col("mean").desc()),
+        extreme("fastest_execution", False),
+        extreme("slowest_execution", True),
+    ):
+        out = out.unionByName(part)
+    return out
 
 
 def stage_analytics_summary(stage_runs: DataFrame) -> DataFrame:
