@@ -215,6 +215,8 @@ def test_recommendation_report(spark):
     found = sorted((r.section, r.stage_name or "", r.total_stages) for r in report.collect())
     assert found == [("investigate", "B", None), ("recommendation", "A", None),
                      ("recommendation", "B", None), ("summary", "", 2)]
+    none = sla.recommendation_report(sla.recommendations(frame.limit(0), {"A": 2.0})).collect()
+    assert [(r.section, r.total_stages, r.stages_to_investigate) for r in none] == [("summary", 0, 0)]
 
 
 BASELINE_ROWS = [

@@ -222,6 +222,9 @@ def full_report(stage_runs: DataFrame, thresholds: Thresholds = STAGE_SLA) -> Da
     counted = counted.withColumns(
         {"stage_name": F.lit(None).cast("string"), "sla_threshold": F.lit(None).cast("double")}
     ).unionByName(table.withColumns({"executions": F.lit(0), "violations": F.lit(0)}))
+    # Grouping sets of no row have no total; a row that counts nothing makes sure of one.
+    nothing = [F.lit(0 if c in ("executions", "violations") else None).cast(t).alias(c) for c, t in counted.dtypes]
+    counted = counted.unionByName(table.sparkSession.range(1).select(*nothing))
     summed = counted.groupingSets([["ord"], []], "ord").agg(
         F.grouping("ord").alias("all"),
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("executions", "violations")],
@@ -271,9 +274,11 @@ def recommendation_report(recommended: DataFrame) -> DataFrame:
     """
     columns = recommended.columns
     investigate = F.col("recommendation") == "INVESTIGATE"
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in recommended.dtypes]
+    recommended = recommended.unionByName(recommended.sparkSession.range(1).select(*nothing))
     rows = recommended.groupingSets([columns, []], *columns).agg(
         F.grouping("stage_name").alias("all"),
-        F.count("*").alias("total_stages"),
+        F.count("stage_name").alias("total_stages"),
         F.count_if(investigate).alias("stages_to_investigate"),
     )
     section = (
@@ -282,7 +287,7 @@ def recommendation_report(recommended: DataFrame) -> DataFrame:
         .otherwise(F.array(F.lit("recommendation")))
     )
     totals = [F.when(F.col("all") == 1, F.col(c)).alias(c) for c in ("total_stages", "stages_to_investigate")]
-    return rows.select(F.explode(section).alias("section"), *columns, *totals)
+    return rows.filter("all = 1 OR stage_name IS NOT NULL").select(F.explode(section).alias("section"), *columns, *totals)
 
 
 def recommendation_summary(recommended: DataFrame) -> DataFrame:

@@ -96,6 +96,9 @@ def full_analytics(stage_runs: DataFrame, order_by: Sequence[str] = ORDER) -> Da
         F.min("duration").alias("low"),
         F.max("duration").alias("high"),
     )
+    # Grouping sets of no row have no total; a row that counts nothing makes sure of one.
+    nothing = [F.lit(0 if c in ("all_rows", "executions") else None).cast(t).alias(c) for c, t in per_stage.dtypes]
+    per_stage = per_stage.unionByName(stage_runs.sparkSession.range(1).select(*nothing))
     both = per_stage.groupingSets([["stage_name"], []], "stage_name").agg(
         F.grouping("stage_name").alias("all"),
         F.coalesce(F.sum("all_rows"), F.lit(0)).alias("all_rows"),
