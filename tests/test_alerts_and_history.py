@@ -144,3 +144,74 @@ def test_old_ledger_rows_with_a_text_map_stay_readable(spark, tmp_path):
     assert history.append_runs(old, path)
     found = {r.run_id: r.retry_information for r in history.load_runs(spark, path).collect()}
     assert found["a"]["S"]["retries"] == 1 and not found["b"] and found["c"] is None
+
+
+def _runs(spark, ids, day=12):
+    data = [(i, datetime(2026, 8, day), 1.0) for i in ids]
+    return spark.createDataFrame(data, "run_id string, started_at timestamp, total_duration double")
+
+
+def _written(folder):
+    return sorted(str(p.relative_to(folder)) for p in folder.rglob("*.parquet"))
+
+
+def _rows_scanned(df):
+    """Rows that come out of the scan of a query, after its row groups were pruned."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.executeCollect()
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+@pytest.mark.parametrize("listed", [1000, 0])
+def test_a_batch_is_looked_for_in_matching_files_only(spark, tmp_path, monkeypatch, listed):
+    monkeypatch.setattr(history, "LISTED_IDS", listed)
+    path = str(tmp_path / "runs")
+    for day in (10, 11, 12):
+        assert history.append_runs(_runs(spark, [f"2026081{day % 10}_{i:03d}" for i in range(50)], day).coalesce(1), path)
+    assert len(_written(tmp_path / "runs")) == 3
+    batch = [f"20260813_{i:03d}" for i in range(5)]
+    ids = _runs(spark, batch).select("run_id")
+    found = history.recorded(spark, path, ids, {"n": 5, "low": batch[0], "high": batch[-1]})
+    assert found.count() == 0
+    listed_filter = spark.read.schema(schemas.RUNS).parquet(path).select("run_id").where(F.col("run_id").isin(batch))
+    assert _rows_scanned(listed_filter) == 0
+    # Between the ids of one day only that file's Bloom filter decides.
+    absent = spark.read.schema(schemas.RUNS).parquet(path).select("run_id").where(F.col("run_id") == "20260811_0105")
+    assert _rows_scanned(absent) == 0
+    with pytest.raises(ValueError, match="20260811_007 is already recorded"):
+        history.append_runs(_runs(spark, [*batch, "20260811_007"], 13), path)
+    assert history.append_runs(_runs(spark, batch, 13), path)
+    assert history.load_runs(spark, path).count() == 155
+    assert not list((tmp_path / "runs").glob("_staged*"))
+
+
+def test_appends_are_written_once_and_leave_nothing_for_no_rows(spark, tmp_path):
+    path = str(tmp_path / "stages")
+    rows = spark.createDataFrame([("r", "A", 1.5)], schemas.STAGE_RUNS).coalesce(1)
+    assert not history.append_stage_runs(rows.limit(0), path)
+    assert not _written(tmp_path / "stages")
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("one-append", "")
+    history.append_stage_runs(rows, path)
+    assert len(jobs.getJobIdsForGroup("one-append")) == 1
+    spark.sparkContext.setJobGroup("other", "")
+    assert len(_written(tmp_path / "stages")) == 1
+
+
+def test_a_failed_append_leaves_nothing(spark, tmp_path):
+    path = str(tmp_path / "stages")
+    broken = spark.range(3).select(
+        F.col("id").cast("string").alias("run_id"), F.lit("S").alias("stage_name"),
+        F.when(F.col("id") == 2, F.raise_error(F.lit("broken"))).otherwise(1.0).alias("duration"))
+    with pytest.raises(Exception, match="broken"):
+        history.append_stage_runs(broken, path)
+    assert not list(tmp_path.glob("stages/*"))
+
+
+def test_ledger_text_has_to_be_a_number(spark):
+    old = spark.createDataFrame(
+        [("a", "12d", "1f"), ("b", "0x1p3", "2.0"), ("c", " 3.5 ", "7"), ("d", "NaN", "Infinity")],
+        "run_id string, total_duration string, total_stages string")
+    found = {r.run_id: (r.total_duration, r.total_stages) for r in ledger.normalized_runs(old).collect()}
+    assert found == {"a": (None, None), "b": (None, 2), "c": (3.5, 7), "d": (None, None)}

@@ -50,6 +50,29 @@ def rename_to_new(spark: SparkSession, path: str, target: str) -> bool:
     return True
 
 
+def move_files(spark: SparkSession, source: str, target: str) -> list[str]:
+    """Move the data files below a folder to the same places below another; their new names.
+
+    Names that begin with an underscore or a dot are left behind.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root, system = _handle(spark, source)
+    found, moved = system.listFiles(root, True), []
+    base = system.makeQualified(root).toUri().getPath().rstrip("/") + "/"
+    while found.hasNext():
+        place = found.next().getPath()
+        inner = place.toUri().getPath().removeprefix(base)
+        if inner.rsplit("/", 1)[-1][0] in "_.":
+            continue
+        # From parts, so that escaped characters of partition folders stay as they are.
+        aim = hadoop.Path(hadoop.Path(target), inner)
+        system.mkdirs(aim.getParent())
+        if not system.rename(place, aim):
+            raise OSError(f"cannot move {place} to {aim}")
+        moved.append(inner)
+    return moved
+
+
 def delete(spark: SparkSession, path: str) -> None:
     target, system = _handle(spark, path)
     system.delete(target, True)

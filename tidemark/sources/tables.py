@@ -5,13 +5,13 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.operators.merge import new_rows
-from tidemark.plans.scratch import materialized
 from tidemark.sources.paths import children, delete, exists
+from tidemark.sources.staging import append_once
 
 VERSION = "version="
 #: Column by which the file list of a keyed table is told from rows.
@@ -26,11 +26,7 @@ def append_new_rows(
     The table is neither rewritten nor, without new rows, touched.
     """
     existing = read_table(incoming.sparkSession, path)
-    added = materialized(new_rows(existing, incoming, key, order_by), "added")
-    count = added.count()
-    if count:
-        added.write.mode("append").parquet(path)
-    return count
+    return append_once(new_rows(existing, incoming, key, order_by), path, DataFrameWriter.parquet)
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
