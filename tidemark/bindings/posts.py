@@ -56,6 +56,13 @@ def _(spark, sf_dir):
     return landing.read_landed(spark, path, schemas.RAW_POSTS).drop("userId")
 
 
+@query("a1_read_array", RAW_DOCUMENTS)
+def _(spark, sf_dir):
+    """The same records as one JSON array, which is read in parallel."""
+    path = landing.land_array(_raw(spark, sf_dir), scratch_dir(spark, "a1"), "posts", FIRST)
+    return landing.read_landed(spark, path, schemas.RAW_POSTS, "array").drop("userId")
+
+
 @query("a2_latest_snapshot", "SELECT c_custkey AS id, c_mktsegment AS name FROM customer")
 def _(spark, sf_dir):
     root = scratch_dir(spark, "a2")
@@ -95,6 +102,34 @@ def _(spark, sf_dir):
     return landing.landing_sanity(spark, path, schemas.RAW_POSTS).drop("position")
 
 
+@query(
+    "a4_unparsable_records",
+    """WITH bad AS (SELECT count(*) FILTER (WHERE c_acctbal < 0) AS n, count(*) AS total FROM customer),
+       checked AS (SELECT 'parsable' AS check_name, n AS violations, 'unparsable records' AS said FROM bad
+         UNION ALL SELECT 'not_empty', CAST(total = 0 AS BIGINT), 'zero records landed' FROM bad)
+       SELECT layout, check_name, CASE WHEN violations > 0 THEN 'FAILED' ELSE 'PASSED' END AS status,
+              violations, CASE WHEN violations > 0 THEN said ELSE '' END AS detail
+       FROM checked, (VALUES ('array'), ('lines'), ('object')) AS l(layout) WHERE layout <> 'object'
+       UNION ALL SELECT 'array', 'is_list', 'PASSED', CAST(0 AS BIGINT), ''""",
+)
+def _(spark, sf_dir):
+    """Customers in debt land with a text for their number."""
+    number = F.when(F.col("c_acctbal") < 0, F.lit('"none"')).otherwise(F.col("c_custkey").cast("string"))
+    name = F.to_json(F.struct(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("username")))
+    texts = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit('{"id": '), number, F.lit(", "), F.substr(name, F.lit(2))).alias("value")
+    )
+    root = scratch_dir(spark, "a4")
+    landing.write_array(texts, f"{root}/array.json")
+    texts.write.text(f"{root}/lines.json")
+    found = [
+        landing.landing_sanity(spark, f"{root}/{layout}.json", schemas.RAW_USERS, layout)
+        .select(F.lit(layout).alias("layout"), "check_name", "status", "violations", "detail")
+        for layout in ("array", "lines")
+    ]
+    return found[0].unionByName(found[1])
+
+
 @query("a5_parquet_scan", "SELECT c_custkey, c_name FROM customer WHERE c_nationkey = 7")
 def _(spark, sf_dir):
     scan = tables.read_table(spark, f"{sf_dir}/customer.parquet")

@@ -30,6 +30,12 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return system.exists(target) and system.getFileStatus(target).isDirectory()
 
 
+def rename_file(spark: SparkSession, path: str, target: str) -> None:
+    source, system = _handle(spark, path)
+    if not system.rename(source, _handle(spark, target)[0]):
+        raise OSError(f"cannot move {path} to {target}")
+
+
 def rename_to_new(spark: SparkSession, path: str, target: str) -> bool:
     """Rename a folder that holds files; False, and nothing done, if the target is there.
 
