@@ -3,7 +3,8 @@ import random
 import numpy as np
 import pytest
 
-from tidemark.llm import decontaminate, graph, licences, line_dedup, order_minhash
+from tidemark.llm import decontaminate, graph, licences, line_dedup, order_minhash, storage
+from tidemark.sources.paths import exists
 
 DOCS = "doc_id long, text string, hashes string, class_id int"
 
@@ -296,3 +297,41 @@ def test_licences(spark):
     assert found[2].identifiers == "mit-grant mit-notice mit-warranty mit-liability"
     assert found[9].identifiers == "cc-by-nc-name apache2-name"
     assert licences.licence_scan(frame(spark, [])).count() == 0
+
+
+def test_deduplicated_documents_keep_columns_of_any_name(spark):
+    schema = "doc_id long, text string, _removed string, lines int, component string, row int"
+    rows = [(1, "a line of text here\nother", "r", 1, "c", 2), (2, "a line of text here\nnew", None, None, None, None)]
+    found = line_dedup.deduplicated(spark.createDataFrame(rows, schema))
+    assert found.columns == ["doc_id", "text", "_removed", "lines", "component", "row"]
+    assert sorted(map(tuple, found.collect())) == [rows[0], (2, "new", None, None, None, None)]
+
+
+def test_intermediates_are_deleted_and_results_stay(spark, tmp_path):
+    with storage.Intermediates() as outer:
+        with storage.Intermediates() as inner:
+            first = storage.Written(spark.range(3), "first")
+            found = inner.result(first.df.where("id > 0"), "second")
+        assert not exists(spark, first.path) and found.count() == 2
+        last = outer.result(found.selectExpr("id + 1 AS id"), "third")
+    with pytest.raises(Exception, match="not exist|No such file|FILE_NOT_EXIST"):
+        found.count()
+    assert sorted(r.id for r in last.collect()) == [2, 3]
+    with pytest.raises(ValueError), storage.Intermediates():
+        lost = storage.Written(spark.range(1), "lost")
+        raise ValueError
+    assert not exists(spark, lost.path)
+
+
+def test_the_hamming_index_selects(spark):
+    """Of all windows and items of one size few come together, and none of other sizes."""
+    rng = np.random.default_rng(4)
+    words = [" ".join(f"w{rng.integers(3000)}" for _ in range(n)) for n in (40, 60, 80) for _ in range(20)]
+    items = spark.createDataFrame(list(enumerate(words)), "item_id long, text string")
+    hashed = decontaminate._hashed(items, "item_id")
+    windows = hashed.selectExpr("item_id AS doc_id", "0 AS start", "size(hashes) AS size", "hashes")
+    near = decontaminate._candidates(decontaminate.with_fingerprints(windows), hashed).distinct()
+    pairs = {(r.doc_id, r.item_id) for r in near.select("doc_id", "item_id").collect()}
+    assert {(i, i) for i in range(60)} <= pairs
+    assert all(a // 20 == b // 20 for a, b in pairs)
+    assert len(pairs) < 0.25 * 60 * 60

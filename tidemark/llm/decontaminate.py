@@ -90,7 +90,10 @@ def _masks() -> list[int]:
 
 
 def hamming_index(items: DataFrame) -> DataFrame:
-    """``(block, value, item_id, simhash)`` for every block value near an item's own."""
+    """``(size, block, value, item_id, item_hash)`` for every block value near an item's own.
+
+    The size is part of the key: a window is compared with items of its size only.
+    """
     entries = F.flatten(
         F.array(
             *[
@@ -102,8 +105,8 @@ def hamming_index(items: DataFrame) -> DataFrame:
             ]
         )
     )
-    flat = items.select("item_id", "simhash", F.explode(entries).alias("e"))
-    return flat.select("item_id", F.col("simhash").alias("item_hash"), "e.block", "e.value")
+    flat = items.select("item_id", "size", "simhash", F.explode(entries).alias("e"))
+    return flat.select("item_id", "size", F.col("simhash").alias("item_hash"), "e.block", "e.value")
 
 
 def _entry(block: int):
@@ -142,12 +145,20 @@ def _spots(hashed: DataFrame, items: DataFrame) -> DataFrame:
     return enough.select("doc_id", "k1", "k2", "size", F.explode(starts).alias("start")).distinct()
 
 
-def _windows(hashed: DataFrame, items: DataFrame) -> DataFrame:
-    """Windows as long as an item around the shingles that they share with it."""
-    keyed = hashed.select("doc_id", "hashes", *content_keys(F.col("hashes")))
-    spots = Written(_spots(keyed, items), "spots").df
+def _windows(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """Windows as long as an item around the shingles that they share with it.
+
+    Texts are hashed again for the documents that have such a window only.  Those are
+    looked up by a merge at every size, since their list grows with the documents.
+    """
+    def keyed(rows: DataFrame) -> DataFrame:
+        return _hashed(rows, "doc_id").select("doc_id", "hashes", *content_keys(F.col("hashes")))
+
+    spots = Written(_spots(keyed(docs), items), "spots").df
+    wanted = spots.select("doc_id").distinct().hint("merge")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    met = keyed(texts.join(wanted, "doc_id", "left_semi")).join(spots.hint("merge"), ["doc_id", "k1", "k2"])
     cut = F.slice("hashes", F.col("start") + 1, F.col("size"))
-    met = keyed.join(spots, ["doc_id", "k1", "k2"])
     return met.select("doc_id", "start", "size", cut.alias("hashes")).distinct()
 
 
@@ -163,9 +174,9 @@ def _shared(a: Column, b: Column) -> Column:
     return F.when(plain, F.size(F.array_intersect(a, b))).otherwise(counted)
 
 
-def _matches(hashed: DataFrame, items: DataFrame) -> DataFrame:
-    windows = with_fingerprints(_windows(hashed, items))
-    printed = with_fingerprints(items)
+def _candidates(windows: DataFrame, items: DataFrame) -> DataFrame:
+    """Windows with the items of their size within ``RADIUS``, from the Hamming index."""
+    index = hamming_index(with_fingerprints(items).withColumn("size", F.size("hashes")))
     blocks = F.explode(
         F.array(
             *[
@@ -176,11 +187,15 @@ def _matches(hashed: DataFrame, items: DataFrame) -> DataFrame:
     ).alias("e")
     probes = windows.select("doc_id", "start", "size", "hashes", "simhash", blocks)
     probes = probes.select("doc_id", "start", "size", "hashes", "simhash", "e.block", "e.value")
-    near = probes.join(F.broadcast(hamming_index(printed)), ["block", "value"])
+    near = probes.join(F.broadcast(index), ["size", "block", "value"])
     apart = F.bit_count(F.col("simhash").bitwiseXOR(F.col("item_hash")))
-    near = near.where(apart <= RADIUS)
+    return near.where(apart <= RADIUS)
+
+
+def _matches(docs: DataFrame, items: DataFrame) -> DataFrame:
+    near = _candidates(with_fingerprints(_windows(docs, items)), items)
     bags = items.select("item_id", F.col("hashes").alias("bag"))
-    pairs = near.join(F.broadcast(bags), "item_id").where(F.size("bag") == F.col("size"))
+    pairs = near.join(F.broadcast(bags), "item_id")
     shared = _shared(F.col("hashes"), F.col("bag"))
     total = F.size("hashes") + F.size("bag")
     similarity = once(shared, lambda n: n / (total - n))
@@ -202,9 +217,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = Written(_hashed(benchmark, "item_id").distinct(), "items").df
     counted = items.agg(F.count("*"), F.coalesce(F.sum(F.size("hashes")), F.lit(0))).first()
     portions = max(1, -(-counted[0] // ITEMS_AT_ONCE), -(-counted[1] // ITEM_WORDS_AT_ONCE))
-    hashed = _hashed(docs, "doc_id")
     part = F.pmod(F.xxhash64("item_id"), F.lit(portions))
-    found = [_matches(hashed, items.where(part == i)) for i in range(portions)]
+    found = [_matches(docs, items.where(part == i)) for i in range(portions)]
     union = reduce(DataFrame.union, found)
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back"))).alias("best")
     grouped = union.groupBy("doc_id", "item_id").agg(best)

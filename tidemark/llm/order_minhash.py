@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from tidemark.llm.graph import apart_pairs, central_pairs, components
-from tidemark.llm.storage import Written, content_keys
+from tidemark.llm.storage import Intermediates, Written, content_keys
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -251,6 +251,11 @@ def near_duplicate_classes(docs: DataFrame, passes: int = 2) -> DataFrame:
     is one document, in the smallest of its texts' classes.  Columns besides doc_id and text are
     not looked at, and an empty table gives an empty result.
     """
+    with Intermediates() as kept:
+        return kept.result(_classes(docs, passes), "classes")
+
+
+def _classes(docs: DataFrame, passes: int) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     source = docs.where(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")

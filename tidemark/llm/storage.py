@@ -17,12 +17,45 @@ class Written:
         self.path = scratch_dir(self.spark, label)
         df.write.parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
+        if _open:
+            _open[-1].made.append(self)
 
     def drop(self) -> None:
         """Delete the files; nothing may read :attr:`df` afterwards."""
         delete(self.spark, self.path)
 
 
+#: Blocks under way, the innermost last.
+_open: list[Intermediates] = []
+
+
+class Intermediates:
+    """A block whose written frames are deleted at its end, but for the results.
+
+    Use it as a context; :meth:`result` writes what is read after the block.
+    """
+
+    def __init__(self) -> None:
+        self.made: list[Written] = []
+        self.results: list[Written] = []
+
+    def __enter__(self) -> Intermediates:
+        _open.append(self)
+        return self
+
+    def result(self, df: DataFrame, label: str) -> DataFrame:
+        self.results.append(Written(df, label))
+        return self.results[-1].df
+
+    def __exit__(self, *_: object) -> None:
+        _open.remove(self)
+        for written in self.made:
+            if written not in self.results:
+                written.drop()
+        if _open:
+            _open[-1].made.extend(self.results)
+
+
 def content_keys(value: Column) -> list[Column]:
     """128 bits of hash, as two longs: rows with equal keys have equal content."""
     return [
