@@ -335,3 +335,36 @@ def test_the_hamming_index_selects(spark):
     assert {(i, i) for i in range(60)} <= pairs
     assert all(a // 20 == b // 20 for a, b in pairs)
     assert len(pairs) < 0.25 * 60 * 60
+
+
+def test_near_duplicates_within_large_buckets(spark, monkeypatch):
+    """Families around one template: most members are unlike it, some pairs are alike."""
+    monkeypatch.setattr(order_minhash, "CHUNK", 8)
+    rng = np.random.default_rng(11)
+    template = [f"t{i}" for i in range(120)]
+    rows = []
+    for i in range(40):
+        own = [f"o{i}x{k}" for k in range(22)]
+        rows.append((2 * i, " ".join(template + own)))
+        rows.append((2 * i + 1, " ".join(template + own[:-1] + [f"e{i}"])))
+    rng.shuffle(rows)
+    docs = spark.createDataFrame([(int(i), str(t)) for i, t in rows], "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r.class_id for r in order_minhash.near_duplicate_classes(docs).collect()}
+    sequences = {int(i): order_minhash.shingle_hashes(str(t)) for i, t in rows}
+    expected = {i: i for i in sequences}
+    for a in sequences:
+        for b in sequences:
+            if a < b and order_minhash.similar(sequences[a], sequences[b]):
+                low, high = sorted((expected[a], expected[b]))
+                expected = {k: low if v == high else v for k, v in expected.items()}
+    assert 1 < len(set(expected.values())) < 80
+    assert found == expected
+
+
+def test_links_of_a_document_with_two_texts(spark):
+    words = [f"w{i}" for i in range(60)]
+    first, second = " ".join(words), " ".join(f"v{i}" for i in range(60))
+    rows = [(1, first), (1, second), (2, second + " more"), (3, first + " less"), (3, first + " less")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.class_id for r in order_minhash.near_duplicate_classes(docs).collect()}
+    assert found == {1: 1, 2: 1, 3: 1}

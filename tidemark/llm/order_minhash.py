@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tidemark.llm.graph import apart_pairs, central_pairs, components
+from tidemark.llm.graph import central_pairs, components
 from tidemark.llm.storage import Intermediates, Written, content_keys
 
 WORDS = 5
@@ -25,6 +25,8 @@ SKETCHES = 20
 DEPTH = 3
 #: Longs of a bitmap; a power of two.
 BITMAP = 8
+#: Documents of a bucket that meet in one group, twice as many across two chunks.
+CHUNK = 256
 _WORD_CACHE = 200_000
 _CELLS = 1_000_000
 _ODD = np.random.default_rng(20260812).integers(1, 2**63, (SKETCHES + 2, 2), dtype=np.uint64) | np.uint64(1)
@@ -220,12 +222,12 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
 
 
 def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    last: tuple[int | None, np.ndarray] = (None, np.empty(0, np.uint64))
+    last: tuple[str | None, np.ndarray] = (None, np.empty(0, np.uint64))
     for batch in batches:
         keep = []
-        for a, left, right in zip(batch["a"], batch["left"], batch["right"]):
-            if last[0] != a:
-                last = (a, shingle_hashes(left))
+        for left, right in zip(batch["left"], batch["right"]):
+            if last[0] != left:
+                last = (left, shingle_hashes(left))
             keep.append(similar(last[1], shingle_hashes(right)))
         yield batch.loc[keep, ["a", "b"]]
 
@@ -244,7 +246,8 @@ def near_duplicate_classes(docs: DataFrame, passes: int = 2) -> DataFrame:
     bucket with the bucket's most central document and verifies the new pairs; the
     next pass does the same with what differs from that document, which links most of a
     family with few pairs.  At last all pairs of a bucket that are in different
-    components yet are verified, but for those that a bound shows to be unlike.
+    components yet are verified where their texts meet, but for those that a bound shows to
+    be unlike; links leave a task, never its pairs.
 
     Null texts count as empty.  Documents without words are in one class only if
     their texts are equal.  A null doc_id is left out; a doc_id carried by several rows
@@ -285,10 +288,8 @@ def _classes(docs: DataFrame, passes: int) -> DataFrame:
         unlinked = placed.join(verified, ["a", "b"], "left_anti")
         buckets = unlinked.select(F.col("b").alias("id"), "bucket")
     parts = Written(components(verified), "parts").df
-    sets = heads.select(F.col("doc_id").alias("id"), "size", *bits).distinct()
-    apart = apart_pairs(everyone.where("n > 2"), sets, parts, BITMAP, SIMILARITY)
-    apart = Written(apart.join(tried, ["a", "b"], "left_anti"), "apart-pairs").df
-    links = Written(_verify(apart, source), "verified").df
+    sets = heads.select(F.col("doc_id").alias("id"), "k1", "k2", "sketches", "size", *bits).distinct()
+    links = Written(_apart_links(everyone.where("n > 2"), sets, parts, keyed), "verified").df
     links = links.union(parts.select(F.col("component").alias("a"), F.col("id").alias("b")))
     linked = components(links).withColumnRenamed("id", "head")
     classed = sketched.join(firsts, ["k1", "k2"]).join(linked, "head", "left")
@@ -297,6 +298,93 @@ def _classes(docs: DataFrame, passes: int) -> DataFrame:
     return classed.groupBy("doc_id").agg(class_id).select("doc_id", "class_id", kept)
 
 
+def _apart_links(
+    placed: DataFrame, sets: DataFrame, parts: DataFrame, keyed: DataFrame
+) -> DataFrame:
+    """``(a, b)``: links between documents of a bucket that are in different components.
+
+    Only buckets of several components are looked at.  Members of a large one meet by pairs
+    of chunks, so a task holds at most two chunks of texts.  ``sets`` and ``keyed`` have the
+    sketches and the text of each different text of a document.
+    """
+    member = placed.select("id", "bucket").join(parts, "id", "left")
+    member = member.withColumn("component", F.coalesce("component", "id"))
+    mixed = member.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    mixed = mixed.where("low != high").select("bucket", "n").hint("rebalance")
+    chunks = F.ceil(F.col("n") / CHUNK).cast("long")
+    member = member.join(mixed, "bucket").select(
+        "id", "bucket", "component", chunks.alias("chunks"), F.pmod(F.xxhash64("id"), chunks).alias("side")
+    )
+    member = Written(member, "apart").df
+    wanted = member.select(F.col("id").alias("doc_id")).distinct().hint("merge")
+    texts = keyed.join(wanted, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("id"), "k1", "k2")
+    texts = texts.agg(F.min("text").alias("text")).hint("merge")
+    known = Written(sets.join(texts, ["id", "k1", "k2"]).drop("k1", "k2"), "apart-texts").df
+    others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("other")
+    dealt = member.select("id", "bucket", "component", "chunks", "side", others)
+    low, high = F.least("side", "other"), F.greatest("side", "other")
+    dealt = dealt.select(
+        "id", "bucket", "component", "side",
+        (low * F.col("chunks") + high).alias("pair"), (low != high).alias("crossing"),
+    )
+    blocks = dealt.join(known.hint("merge"), "id").repartition("bucket", "pair")
+    blocks = blocks.sortWithinPartitions("bucket", "pair", "id")
+    return blocks.mapInPandas(_linked_apart, "a long, b long").distinct()
+
+
+def _linked_apart(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows come sorted by bucket and pair; an unfinished group is carried over."""
+    held: pd.DataFrame | None = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        last = rows.iloc[-1]
+        unfinished = (rows["bucket"] == last["bucket"]) & (rows["pair"] == last["pair"])
+        held, done = rows[unfinished], rows[~unfinished]
+        for _, group in done.groupby(["bucket", "pair"], sort=False):
+            yield _links_of(group)
+    if held is not None:
+        yield _links_of(held)
+
+
+def _links_of(group: pd.DataFrame) -> pd.DataFrame:
+    """Links that join components of one group, one fewer than there are components at most.
+
+    A pair is looked at in the first bucket that its documents share, and only while they
+    are in different components.
+    """
+    ids, side = group["id"].to_numpy(), group["side"].to_numpy()
+    size, texts = group["size"].to_numpy(), group["text"].to_numpy()
+    bits = group[[f"x{i}" for i in range(BITMAP)]].to_numpy(np.int64).view(np.uint64)
+    keys = np.stack(group["sketches"].to_numpy())
+    bucket, crossing = group["bucket"].iloc[0], bool(group["crossing"].iloc[0])
+    roots = group["component"].to_numpy().copy()
+    sequences: dict[int, np.ndarray] = {}
+
+    def sequence(i: int) -> np.ndarray:
+        if i not in sequences:
+            sequences[i] = shingle_hashes(texts[i])
+        return sequences[i]
+
+    links = []
+    for i in range(len(ids) - 1):
+        rest = np.arange(i + 1, len(ids))
+        rest = rest[(roots[rest] != roots[i]) & ((side[rest] != side[i]) | (not crossing))]
+        most = (size[rest] + size[i]) * ((1 - SIMILARITY) / (1 + SIMILARITY)) + 1e-6
+        near = np.bitwise_count(bits[rest] ^ bits[i]).sum(axis=1) <= most
+        rest = rest[near & (np.abs(size[rest] - size[i]) <= most)]
+        equal = keys[rest] == keys[i]
+        first = keys[i][equal.argmax(axis=1)] if len(rest) else keys[i][:0]
+        for j in rest[first == bucket]:
+            if roots[i] != roots[j] and similar(sequence(i), sequence(j)):
+                links.append((ids[i], ids[j]))
+                roots[roots == roots[j]] = roots[i]
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+
 def _verify(pairs: DataFrame, source: DataFrame) -> DataFrame:
     """The pairs whose texts align; of the texts only those of a pair are written.
 
