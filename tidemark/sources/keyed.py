@@ -81,6 +81,8 @@ class KeyedTable:
 
     def __init__(self, spark: SparkSession, root: str, key: str, rows_per_file: int = ROWS_PER_FILE):
         self.spark, self.root, self.key, self.rows_per_file = spark, root, key, rows_per_file
+        # What has been read of versions, which never change.
+        self._known: dict[int, _Version] = {}
 
     def newest(self) -> int:
         """The newest complete version, 0 if there is none."""
@@ -88,12 +90,19 @@ class KeyedTable:
 
     def parts(self, version: int) -> list[Part]:
         """The files of a version in key order."""
-        if not version:
-            return []
-        rows = read_manifest(self.spark, self.root, version).where("file IS NOT NULL")
-        rows = rows.withColumn("low_text", F.col("low").cast("string")).collect()
-        parts = [Part(r.file, r.low, r.low_text, r.high, r.n) for r in rows]
-        return sorted(parts, key=lambda p: p.low)
+        return list(self._version(version).parts) if version else []
+
+    def _version(self, version: int) -> _Version:
+        if version not in self._known:
+            rows = read_manifest(self.spark, self.root, version)
+            if KEYED not in rows.columns:
+                raise ValueError(f"version {version} of {self.root} is not a list of files")
+            found = rows.withColumn("low_text", F.col("low").cast("string")).collect()
+            parts = [Part(r.file, r.low, r.low_text, r.high, r.n) for r in found if r.file is not None]
+            head = next(r for r in found if r.file is None)
+            schema = StructType.fromJson(json.loads(head.columns))
+            self._known[version] = _Version(schema, head.owner, sorted(parts, key=lambda p: p.low))
+        return self._known[version]
 
     def read(self, version: int | None = None, parts: Sequence[Part] | None = None) -> DataFrame | None:
         """A version, the newest by default, or some of its files; None without a version."""
@@ -107,16 +116,10 @@ class KeyedTable:
         return self.spark.read.schema(schema).parquet(*[f"{self.root}/{p.file}" for p in chosen])
 
     def owner(self, version: int) -> str | None:
-        return self._head(version).owner
-
-    def _head(self, version: int):
-        rows = read_manifest(self.spark, self.root, version)
-        if KEYED not in rows.columns:
-            raise ValueError(f"version {version} of {self.root} is not a list of files")
-        return rows.where("file IS NULL").first()
+        return self._version(version).owner
 
     def _schema(self, version: int) -> StructType:
-        return StructType.fromJson(json.loads(self._head(version).columns))
+        return self._version(version).schema
 
     # --- merging ------------------------------------------------------------------------
 
@@ -151,6 +154,8 @@ class KeyedTable:
             self._manifest([*kept, *done.parts], done.schema, owner).write.parquet(staged)
             if rename_to_new(self.spark, staged, version_path(self.root, newest + 1)):
                 done.result.changes["kept"] += sum(p.rows for p in kept)
+                listed = sorted([*kept, *done.parts], key=lambda p: p.low)
+                self._known[newest + 1] = _Version(done.schema, owner, listed)
                 return newest + 1
             delete(self.spark, staged)
             newest = self.newest()
@@ -261,6 +266,13 @@ class KeyedTable:
         return sorted(old)
 
 
+@dataclass(frozen=True)
+class _Version:
+    schema: StructType
+    owner: str | None
+    parts: list[Part]
+
+
 @dataclass
 class _Written:
     folder: str
