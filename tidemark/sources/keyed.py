@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, LongType, StringType, StructField, StructType
 
+from tidemark.operators.enrich import backfill_lineage
 from tidemark.operators.merge import CHANGE, upsert
 from tidemark.sources.paths import delete, rename_to_new
 from tidemark.sources.tables import KEYED, read_manifest, version_path, versions
@@ -190,8 +191,12 @@ class KeyedTable:
         bounds = {p.low_text: p.low for p in touched[1:]}
         bounds |= self._splits(incoming, touched, old, found, kind)
         texts = sorted(bounds, key=bounds.get)
-        existing = self.read(base, touched) if touched else empty
-        merged = upsert(existing, incoming, key, compare, lineage, validate="none")
+        if touched:
+            merged = upsert(self.read(base, touched), incoming, key, compare, lineage, validate="none")
+        else:
+            merged = incoming.withColumn(CHANGE, F.lit("INSERTED"))
+            merged = backfill_lineage(merged) if lineage else merged
+            merged = merged.select(*[F.col(f.name).cast(f.dataType) for f in schema], CHANGE)
         merged = merged.withColumn("piece", _place(F.col(key), texts, kind))
         merged = merged.repartition("piece").sortWithinPartitions("piece", key)
         seen = Observation()
