@@ -25,8 +25,8 @@ SKETCHES = 20
 DEPTH = 3
 #: Longs of a bitmap; a power of two.
 BITMAP = 8
-#: Documents of a bucket that meet in one group, twice as many across two chunks.
-CHUNK = 256
+#: Shingles of a bucket's documents that meet in one group, twice as many across two chunks.
+CHUNK = 1 << 18
 _WORD_CACHE = 200_000
 _CELLS = 1_000_000
 _ODD = np.random.default_rng(20260812).integers(1, 2**63, (SKETCHES + 2, 2), dtype=np.uint64) | np.uint64(1)
@@ -304,16 +304,19 @@ def _apart_links(
     """``(a, b)``: links between documents of a bucket that are in different components.
 
     Only buckets of several components are looked at.  Members of a large one meet by pairs
-    of chunks, so a task holds at most two chunks of texts.  ``sets`` and ``keyed`` have the
-    sketches and the text of each different text of a document.
+    of chunks, which are as many as its shingles fill, so a task holds about two chunks of
+    texts however long they are.  ``sets`` and ``keyed`` have the sketches and the text of
+    each different text of a document.
     """
-    member = placed.select("id", "bucket").join(parts, "id", "left")
+    weights = sets.groupBy("id").agg(F.sum("size").alias("weight"))
+    member = placed.select("id", "bucket").join(parts, "id", "left").join(weights, "id")
     member = member.withColumn("component", F.coalesce("component", "id"))
     mixed = member.groupBy("bucket").agg(
-        F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
+        F.sum("weight").alias("weight"), F.min("component").alias("low"), F.max("component").alias("high")
     )
-    mixed = mixed.where("low != high").select("bucket", "n").hint("rebalance")
-    chunks = F.ceil(F.col("n") / CHUNK).cast("long")
+    mixed = mixed.where("low != high").select("bucket", "weight").hint("rebalance")
+    member = member.drop("weight")
+    chunks = F.ceil(F.col("weight") / CHUNK).cast("long")
     member = member.join(mixed, "bucket").select(
         "id", "bucket", "component", chunks.alias("chunks"), F.pmod(F.xxhash64("id"), chunks).alias("side")
     )
