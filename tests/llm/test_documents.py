@@ -339,7 +339,7 @@ def test_the_hamming_index_selects(spark):
 
 def test_near_duplicates_within_large_buckets(spark, monkeypatch):
     """Families around one template: most members are unlike it, some pairs are alike."""
-    monkeypatch.setattr(order_minhash, "CHUNK", 8)
+    monkeypatch.setattr(order_minhash, "CHUNK", 1100)  # shingles of about eight of the texts
     rng = np.random.default_rng(11)
     template = [f"t{i}" for i in range(120)]
     rows = []
