@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_CHARS = 30_000_000
+#: Documents whose ids are gathered at once.
+_BATCH = 512
 _MARK = "▁"
 _CHUNK = re.compile(r" +[^ ]*")
 
@@ -122,6 +124,16 @@ def _ids_by_chunk(keys: list[str], packed: bytes) -> Iterator[tuple[str, np.ndar
         start += size
 
 
+def _gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, codes: np.ndarray):
+    """The runs ``flat[starts[c]:starts[c] + sizes[c]]`` of ``codes`` back to back, and their ends."""
+    n = sizes[codes]
+    ends = np.cumsum(n)
+    if not len(n) or not ends[-1]:
+        return flat[:0], ends
+    shift = np.repeat(starts[codes] - (ends - n), n)
+    return flat[np.arange(ends[-1], dtype=np.int64) + shift], ends
+
+
 def _joined(
     docs: pd.DataFrame, answers: pd.DataFrame, model: str, buckets: int, text_column: bool
 ) -> pd.DataFrame:
@@ -130,22 +142,41 @@ def _joined(
     for text in docs["text"]:
         found.update(chunks(text))
     asked = _by_bucket(found, buckets)
-    packed: dict[str, bytes] = {}
-    decimal: dict[str, str] = {}
+    keys: list[str] = []
+    ids_of: list[np.ndarray] = []
     for bucket, answer in zip(answers["bucket"], answers["ids"]):
         for key, ids in _ids_by_chunk(asked[bucket], answer):
-            packed[key] = ids.tobytes()
-            decimal[key] = ",".join(map(str, ids.tolist()))
+            keys.append(key)
+            ids_of.append(ids)
+    # Each chunk's ids, and their decimal texts each followed by a comma, back to back.
+    id_sizes = np.array([len(ids) for ids in ids_of], np.int64)
+    flat_ids = np.concatenate(ids_of) if ids_of else np.zeros(0, "<u4")
+    texts = ["".join(f"{i}," for i in ids.tolist()).encode() for ids in ids_of]
+    text_sizes = np.array([len(t) for t in texts], np.int64)
+    flat_text = np.frombuffer(b"".join(texts), np.uint8)
+    del texts, ids_of, found, asked
+    id_starts, text_starts = np.cumsum(id_sizes) - id_sizes, np.cumsum(text_sizes) - text_sizes
+    index = pd.Index(keys, dtype=object)
     loaded = processor(model)
     out = []
-    for text in docs["text"]:
-        parts = chunks(text)
-        ids = np.frombuffer(b"".join(map(packed.__getitem__, parts)), "<u4")
-        listed = ",".join(map(decimal.__getitem__, parts))
-        decoded = loaded.decode(ids.tolist()) if len(ids) else ""
-        raw = decoded.encode("utf-8", "surrogatepass")
-        row = (len(ids), hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(raw).hexdigest())
-        out.append((*row, decoded) if text_column else row)
+    all_texts = docs["text"]
+    for first in range(0, len(all_texts), _BATCH):
+        # Chunks are found again a batch at a time, so that a block's are never all held.
+        batch = [chunks(text) for text in all_texts.iloc[first : first + _BATCH]]
+        codes = index.get_indexer(pd.Index([c for each in batch for c in each], dtype=object))
+        ids, id_ends = _gathered(flat_ids, id_starts, id_sizes, codes)
+        listed, text_ends = _gathered(flat_text, text_starts, text_sizes, codes)
+        bounds = np.concatenate([[0], np.cumsum([len(each) for each in batch])])
+        id_at = np.concatenate([[0], id_ends])[bounds].tolist()
+        text_at = np.concatenate([[0], text_ends])[bounds].tolist()
+        for i in range(len(batch)):
+            own = ids[id_at[i] : id_at[i + 1]]
+            # Without the comma after the last id.
+            digits = listed[text_at[i] : max(text_at[i], text_at[i + 1] - 1)].tobytes()
+            decoded = loaded.decode(own.tolist()) if len(own) else ""
+            raw = decoded.encode("utf-8", "surrogatepass")
+            row = (len(own), hashlib.sha256(digits).hexdigest(), hashlib.sha256(raw).hexdigest())
+            out.append((*row, decoded) if text_column else row)
     columns = ["n_tokens", "ids_sha256", "decoded_sha256"] + ["decoded"] * text_column
     result = pd.DataFrame(out, columns=columns, index=docs.index)
     kept = docs.drop(columns=["block", "text"])
