@@ -107,3 +107,28 @@ def test_no_row_is_keyed_by_its_group(spark, monkeypatch):
     assert len(rowwise) >= 3
     # What is keyed by the group alone: one row for each of its ranges, and of the result.
     assert all(k in ("id", "g", "_groupingexpression") or k in rowwise for k in keys), keys
+
+
+def test_ranges_are_summed_without_their_targets(spark, monkeypatch):
+    """The rows that a range's running count sorts hold no targets, so a task's sort stays narrow."""
+    monkeypatch.setattr(percentiles, "MAX_DIMENSION_ROWS", 3)
+    rows = [("hot" if i % 2 else f"g{i % 40}", float(i % 97)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(4)
+    out = selected_percentiles(df, "g", "v", POINTS)
+
+    def windows(node):
+        found = [node] if node.nodeName() == "Window" else []
+        kids = node.children()
+        return found + [w for i in range(kids.size()) for w in windows(kids.apply(i))]
+
+    def names(attributes):
+        return [attributes.apply(i).name() for i in range(attributes.size())]
+
+    summed = [w for w in windows(out._jdf.queryExecution().optimizedPlan()) if "v" in names(w.child().output())]
+    assert summed
+    assert all("targets" not in names(w.child().output()) for w in summed)
+    groups = {}
+    for g, v in rows:
+        groups.setdefault(g, []).append(v)
+    found = {r["g"]: r["percentiles"] for r in out.collect()}
+    assert found == {g: [by_sorting(values, p) for p in POINTS] for g, values in groups.items()}

@@ -75,8 +75,11 @@ def _ranked(counted: DataFrame, intervals: DataFrame) -> DataFrame:
     ends = _held(F.col("start"), F.col("start") + F.col("c"))
     pieces = pieces.select("id", "part", "g", "start", ends).withColumnRenamed("start", "below")
     here = Window.partitionBy("id", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    inside = placed.join(pieces.filter(F.size("targets") > 0), ["id", "part"])
-    upto = F.col("below") + F.sum("c").over(here)
+    held = pieces.filter(F.size("targets") > 0)
+    # Values are summed in order as narrow rows; a range's targets join them after the sort.
+    inside = placed.join(held.select("id", "part"), ["id", "part"], "left_semi")
+    inside = inside.withColumn("within", F.sum("c").over(here)).join(held, ["id", "part"])
+    upto = F.col("below") + F.col("within")
     stepped = inside.withColumn("upto", upto).withColumn("start", F.col("upto") - F.col("c"))
     found = stepped.select("g", "v", _held(F.col("start"), F.col("upto")))
     return found.filter(F.size("targets") > 0)
