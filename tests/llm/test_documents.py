@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -323,6 +324,22 @@ def test_intermediates_are_deleted_and_results_stay(spark, tmp_path):
     assert not exists(spark, lost.path)
 
 
+def test_shuffle_files_go_once_a_frame_is_written(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = (files.apply(i).getName() for i in range(files.size()))
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before = shuffled()
+    written = storage.Written(spark.range(1000).repartition(3).groupBy("id").count(), "counts")
+    end = time.monotonic() + 20
+    while shuffled() - before and time.monotonic() < end:
+        time.sleep(0.2)
+    assert not shuffled() - before and written.df.count() == 1000
+    assert spark.conf.get(storage.CLEANUP) == "false"
+    written.drop()
+
+
 def test_the_hamming_index_selects(spark):
     """Of all windows and items of one size few come together, and none of other sizes."""
     rng = np.random.default_rng(4)
