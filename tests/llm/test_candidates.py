@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, graph, line_dedup, order_minhash
 
-from test_documents import changed, frame, leaks_brute_force, lines_brute_force, near_brute_force, prose
+from test_documents import changed, frame, leaks_brute_force, line_sets, lines_brute_force, near_brute_force, prose
 
 
 def kept_lines(spark, rows):
@@ -119,3 +119,71 @@ def test_bucket_sizes_are_counted_without_a_window(spark):
     assert sizes and all(shared.where(F.col("bucket") == b).count() == n for b, n in list(sizes.items())[:2])
     with open(line_dedup.__file__) as file:
         assert "Window" not in file.read()
+
+
+def test_lines_are_split_once(spark):
+    """A filter on the size of an exploded array would make the array a second time."""
+    docs = frame(spark, [(1, "one line of text\nanother line")])
+    lines = line_dedup.document_lines(docs)
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and plan.count("lower(") == 1
+    plan = line_dedup.bitmaps(lines.selectExpr("line_id AS id", "line"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("encode(") == 1
+
+
+def test_bands_hold_the_smallest_hashes_of_each_class(spark):
+    rng = random.Random(21)
+    texts = [" ".join(prose(rng, rng.randint(1, 40))) for _ in range(30)] + ["ab", "x" * 90, "y " * 20]
+    lines = line_dedup.document_lines(frame(spark, list(enumerate(texts))))
+    words = F.split("line", " ")
+    hashes = lines.select("line_id", line_dedup.word_runs(words).alias("h")).collect()
+    close = lines.select("line_id", F.transform(line_dedup.shingles(F.col("line")), lambda s: F.xxhash64(s)).alias("h")).collect()
+    hashes, close = ({r.line_id: sorted(r.h) for r in rows} for rows in (hashes, close))
+    found = line_dedup.described(lines).select(
+        "line_id", F.col("runs").isNotNull().alias("worded"), F.col("close").isNotNull().alias("few"),
+        line_dedup.band_keys(F.struct("runs", "close")).alias("keys"),
+    ).collect()
+    keys = {}
+    for r in found:
+        expected = []
+        for kind, (used, of) in enumerate(((r.worded, hashes), (r.few, close))):
+            classes = [[h for h in of[r.line_id] if h % line_dedup.BANDS == b][: line_dedup.ROWS] for b in range(line_dedup.BANDS)]
+            expected += [(kind, b, tuple(c)) for b, c in enumerate(classes) if c and used]
+        got = [k for k in r["keys"] if k is not None]
+        assert len(set(got)) == len(got) == len(expected) > 0
+        order = [(k, (b + line_dedup.BANDS // 2) % line_dedup.BANDS, c) for k, b, c in expected]
+        for key, band in zip(got, [x for _, x in sorted(zip(order, expected))]):
+            assert keys.setdefault(key, band) == band
+    assert len(set(keys.values())) == len(keys)
+
+
+def test_the_bound_leaves_out_unlike_pairs_and_no_similar_one(spark):
+    rng = random.Random(22)
+    base = [" ".join(prose(rng, rng.randint(3, 60))) for _ in range(12)]
+    texts = base + [t[: rng.randint(1, len(t))] for t in base] + [t + "s" for t in base] + ["abab" * 30, "abab" * 9]
+    texts = spark.createDataFrame(list(enumerate(texts)), "id long, line string")
+    ids = texts.select("id")
+    pairs = ids.selectExpr("id AS a").crossJoin(ids.selectExpr("id AS b")).where("a < b")
+    sketches = line_dedup.bitmaps(texts)
+    near = {tuple(r) for r in graph.near_pairs(pairs, sketches, line_dedup.BITMAP, 0.8).collect()}
+    similar = {tuple(r) for r in line_dedup.similar_pairs(texts, pairs).collect()}
+    lines = {r.id: line_sets(r.line) for r in texts.collect()}
+    assert similar == {
+        (a, b) for a in lines for b in lines if a < b and len(lines[a] & lines[b]) / len(lines[a] | lines[b]) >= 0.8
+    }
+    assert similar and similar <= near and len(near) < 3 * len(similar)
+
+
+def test_members_of_several_large_buckets_are_joined_once(spark, monkeypatch):
+    monkeypatch.setattr(graph, "MANY", 3)
+    placed = [(i, b) for i in range(6) for b in (1, 2, 3)] + [(i, 4) for i in (0, 1, 7, 8)] + [(7, 5), (8, 5), (0, 5)]
+    placed = spark.createDataFrame(placed, "id long, bucket long")
+    sketches = spark.createDataFrame([(i, 9, 0) for i in range(9)], "id long, size long, x0 long")
+    parts = spark.createDataFrame([(0, 0), (2, 0)], "id long, component long")
+    found = graph.apart_pairs(placed, sketches, parts, 1, 0.8)
+    expected = {(a, b) for a in range(6) for b in range(a + 1, 6)} - {(0, 2)}
+    expected |= {(0, 7), (0, 8), (1, 7), (1, 8), (7, 8)}
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+    joined = found._jdf.queryExecution().logical().children().head()
+    joined = spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, joined)
+    assert joined.count() == len(expected) + 3  # 0, 7 and 8 meet in a small bucket, too
